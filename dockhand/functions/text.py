@@ -85,6 +85,16 @@ def with_term_counts(df: DataFrame, words: Column, out: str) -> DataFrame:
     return df.withColumn(out, counted).drop(sorted_col, starts_col)
 
 
+def exploded_terms(df: DataFrame, counts: str, *keep: str) -> DataFrame:
+    """One row (keep, term, n) per entry of a term-count array.
+
+    The outer form is used because for the inner one the optimizer adds a
+    non-empty filter and pushes it below the projections, which would count
+    every text twice.
+    """
+    return df.select(*keep, F.inline_outer(counts)).filter(F.col("term").isNotNull())
+
+
 def top_terms(counts: Column, k: int) -> Column:
     """The ``k`` most frequent terms of a term-count array; ties in term order."""
     ranked = F.sort_array(

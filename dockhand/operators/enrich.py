@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockhand.functions.text import all_stop_words, tokens, top_terms, with_term_counts, word_count
+from dockhand.functions.text import all_stop_words, exploded_terms, tokens, top_terms, with_term_counts, word_count
 
 KEYWORDS_PER_DOCUMENT = 10
 
@@ -32,20 +32,19 @@ def content_stats(df: DataFrame, content: str = "content") -> DataFrame:
 
 def entities(text: Column) -> Column:
     """Array of (text, label), rule by rule in text order."""
-    found = [
-        F.transform(
-            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-            lambda match, label=label: F.struct(match.alias("text"), F.lit(label).alias("label")),
-        )
-        for label, pattern in ENTITY_RULES
-    ]
-    return F.concat(*found)
+
+    def found(label: str, pattern: str) -> Column:
+        matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        return F.transform(matches, lambda match: F.struct(match.alias("text"), F.lit(label).alias("label")))
+
+    return F.concat(*[found(label, pattern) for label, pattern in ENTITY_RULES])
 
 
 def extract_entities(df: DataFrame, text: str = "text", max_chars: int | None = None) -> DataFrame:
     """Add ``entities``; the whole text is read unless ``max_chars`` asks for a prefix."""
     source = F.col(text) if max_chars is None else F.substring(text, 1, max_chars)
-    return df.withColumn("entities", F.coalesce(entities(source), F.expr("CAST(array() AS ARRAY<STRUCT<text: STRING, label: STRING>>)")))
+    none = F.array().cast("array<struct<text: string, label: string>>")
+    return df.withColumn("entities", F.coalesce(entities(source), none))
 
 
 def top_keywords(df: DataFrame, text: str = "text", k: int = KEYWORDS_PER_DOCUMENT) -> DataFrame:
@@ -69,5 +68,5 @@ def gazetteer_entities(
     word of a document once; AQE splits a word that occurs everywhere.
     """
     counted = with_term_counts(df.select(key, text), tokens(F.col(text)), "__terms")
-    found = counted.select(key, F.inline("__terms"))
+    found = exploded_terms(counted, "__terms", key)
     return found.join(gazetteer, found["term"] == gazetteer["name"]).select(key, "name", "label", "n")

@@ -61,11 +61,12 @@ def best_language(grams: Column, profile: Profile) -> Column:
     Membership is tested against constant hash sets inside the row, so a text
     is scored without exploding or shuffling it.
     """
+
+    def covered(known: list[str]) -> Column:
+        return F.size(F.filter(grams, lambda gram: gram.isin(known)))
+
     scores = [
-        F.struct(
-            (-F.size(F.filter(grams, lambda g, known=known: g.isin(known)))).alias("rank"),
-            F.lit(language).alias("language"),
-        )
+        F.struct((-covered(known)).alias("rank"), F.lit(language).alias("language"))
         for language, known in profile.items()
     ]
     if not scores:

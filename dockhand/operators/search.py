@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockhand.functions.text import tokens, with_term_counts
+from dockhand.functions.text import exploded_terms, tokens, with_term_counts
 
 
 def postings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Index rows (term, key, tf). No shuffle: a document is counted in its row."""
     counted = with_term_counts(docs.select(key, text), tokens(F.col(text)), "__terms")
-    return counted.select(key, F.inline("__terms")).select("term", key, F.col("n").alias("tf"))
+    return exploded_terms(counted, "__terms", key).select("term", key, F.col("n").alias("tf"))
 
 
 def term_stats(index: DataFrame) -> DataFrame:

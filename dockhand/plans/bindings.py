@@ -154,6 +154,12 @@ def monitor(spark: SparkSession, folder: str) -> DataFrame:
     return newest.select("FileID", "Status", "DurationSeconds", "ErrorLog", F.col("ts").alias("ProcessedAt"))
 
 
+def landing_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The attempt log with one file per user and day: short histories, some of failures only."""
+    log = monitor_events(spark, folder)
+    return log.withColumn("FileID", F.col("FileID") * 100 + F.dayofmonth("ts"))
+
+
 def landed_path(file_id):
     """Path of a file of the attempt log."""
     return F.concat(F.lit("/staging/file_"), file_id.cast("string"), F.lit(".txt"))

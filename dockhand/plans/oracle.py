@@ -61,20 +61,24 @@ VIEWS = {
         SELECT FileID, Status, DurationSeconds, ErrorLog, ts AS ProcessedAt
         FROM (SELECT *, row_number() OVER (PARTITION BY FileID ORDER BY ts DESC, event_id DESC) AS rn FROM log) x
         WHERE rn = 1""",
+    "runs": """
+        SELECT * REPLACE (FileID * 100 + day(ts) AS FileID,
+                          concat('/staging/file_', CAST(FileID * 100 + day(ts) AS VARCHAR), '.txt') AS path)
+        FROM log""",
     "failures": """
         SELECT *, row_number() OVER (PARTITION BY FileID ORDER BY ts, event_id) AS attempt
-        FROM log WHERE Status IN ('Failed', 'Retried')""",
+        FROM runs WHERE Status IN ('Failed', 'Retried')""",
     "outcomes": """
         SELECT FileID,
                count(*) FILTER (WHERE Status <> 'Processing') AS tries,
                count(*) FILTER (WHERE Status IN ('Failed', 'Retried')) AS failures,
-               (SELECT f.ErrorLog FROM log f WHERE f.FileID = l.FileID AND f.Status IN ('Failed', 'Retried')
+               (SELECT f.ErrorLog FROM runs f WHERE f.FileID = l.FileID AND f.Status IN ('Failed', 'Retried')
                 ORDER BY f.ts DESC, f.event_id DESC LIMIT 1) AS last_error,
                CASE WHEN bool_or(Status = 'Completed') THEN 'success'
                     WHEN count(*) FILTER (WHERE Status IN ('Failed', 'Retried')) >= 3 THEN 'failed'
                     WHEN count(*) FILTER (WHERE Status IN ('Failed', 'Retried')) > 0 THEN 'retrying'
                     WHEN bool_or(Status = 'Processing') THEN 'processing' ELSE 'pending' END AS outcome
-        FROM log l GROUP BY FileID""",
+        FROM runs l GROUP BY FileID""",
     "samples": """
         SELECT sample_ts, n_processed, n_failed,
                CAST(sum(n_processed) OVER w AS BIGINT) AS files_processed,
@@ -298,11 +302,11 @@ ORACLE_SQL: dict[str, str] = {
         SELECT event_id, concat({_ISO}, ' | ', Status, ' | ', {_NAME}) AS line FROM log""",
     "manifest_latest": f"""{_needs("log")}
         SELECT path, arg_max(Status, (ts, event_id)) AS status FROM log GROUP BY path""",
-    "processing_log": f"""{_needs("log failures")}
-        SELECT FileID, concat('Processing file: ', path) AS LogMessage, 'INFO' AS LogLevel FROM log WHERE Status = 'Processing'
+    "processing_log": f"""{_needs("log runs failures")}
+        SELECT FileID, concat('Processing file: ', path) AS LogMessage, 'INFO' AS LogLevel FROM runs WHERE Status = 'Processing'
         UNION ALL
         SELECT FileID, concat('File processed successfully in ', CAST(DurationSeconds AS VARCHAR), ' seconds.'), 'INFO'
-        FROM log WHERE Status = 'Completed'
+        FROM runs WHERE Status = 'Completed'
         UNION ALL
         SELECT FileID, concat('Error processing file: ', ErrorLog), 'ERROR' FROM failures
         UNION ALL
@@ -414,9 +418,9 @@ ORACLE_SQL: dict[str, str] = {
         SELECT source, count(*) AS n_files, count(*) FILTER (WHERE quality = 1) AS n_success,
                avg(CASE WHEN quality = 1 THEN 1.0 ELSE 0.0 END) >= 0.8 AS accepted
         FROM labels JOIN documents USING (doc_id) GROUP BY source""",
-    "file_outcome": f"{_needs('log outcomes')} SELECT * FROM outcomes",
+    "file_outcome": f"{_needs('log runs outcomes')} SELECT * FROM outcomes",
     "monitor_current": f"{_needs('log monitor')} SELECT * FROM monitor",
-    "retry_schedule": f"""{_needs("log failures")},
+    "retry_schedule": f"""{_needs("log runs failures")},
         policy AS (SELECT * FROM (VALUES ('refactored', 3, NULL, false), ('older', 3, NULL, true),
                                          ('db_worker', 4, NULL, false), ('fixed', 5, 2, true)) p(policy, attempts, fixed, last_too))
         SELECT policy, event_id, FileID, attempt,
@@ -425,7 +429,7 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN attempt < attempts THEN ts + to_seconds(CAST(coalesce(fixed, pow(2, attempt)) AS BIGINT)) END AS next_retry_at,
                attempt >= attempts AS is_final
         FROM failures, policy""",
-    "failure_alerts": f"""{_needs("log outcomes")}
+    "failure_alerts": f"""{_needs("log runs outcomes")}
         SELECT FileID, failures AS retries, last_error AS error,
                concat('🚨 File Processing Failed 🚨', chr(10), 'File: /staging/file_', FileID, '.txt', chr(10),
                       'Retries: 3', chr(10), 'Error: ', last_error) AS message

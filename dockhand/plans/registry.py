@@ -139,7 +139,7 @@ def manifest_latest(spark, folder):
 
 @query
 def processing_log(spark, folder):
-    log = b.monitor_events(spark, folder)
+    log = b.landing_runs(spark, folder)
     failed = monitor.is_failure(F.col("Status"))
     numbered = monitor.numbered_failures(log).unionByName(log.filter(~failed), allowMissingColumns=True)
     return monitor.processing_log(numbered, b.landed_path(F.col("FileID")))
@@ -417,7 +417,7 @@ def batch_acceptance(spark, folder):
 
 @query
 def file_outcome(spark, folder):
-    return monitor.file_outcome(b.monitor_events(spark, folder))
+    return monitor.file_outcome(b.landing_runs(spark, folder))
 
 
 @query
@@ -427,12 +427,12 @@ def monitor_current(spark, folder):
 
 @query
 def retry_schedule(spark, folder):
-    return monitor.retry_schedule(b.monitor_events(spark, folder))
+    return monitor.retry_schedule(b.landing_runs(spark, folder))
 
 
 @query
 def failure_alerts(spark, folder):
-    return monitor.failure_alerts(b.monitor_events(spark, folder), b.landed_path(F.col("FileID")))
+    return monitor.failure_alerts(b.landing_runs(spark, folder), b.landed_path(F.col("FileID")))
 
 
 @query
@@ -497,7 +497,7 @@ def language_accuracy(spark, folder):
 @query
 def extract_entities(spark, folder):
     found = enrich.extract_entities(b.documents(spark, folder).select("doc_id", "text"))
-    return found.select("doc_id", F.inline("entities")).groupBy("doc_id", "label", "text").agg(
+    return found.select("doc_id", F.inline_outer("entities")).filter("label IS NOT NULL").groupBy("doc_id", "label", "text").agg(
         F.count(F.lit(1)).alias("n")
     )
 
