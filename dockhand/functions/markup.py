@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dockhand.functions.text import WHITESPACE, strip
+from dockhand.functions.text import BLANKS, strip
 
 # One scan drops script and style blocks with their content, comments, and
 # all other tags; the block alternatives come first so that a tag quoted
@@ -35,7 +35,7 @@ def unescape(text: Column) -> Column:
 def html_text(html: Column) -> Column:
     """Visible text with white space collapsed."""
     bare = unescape(F.regexp_replace(html, _MARKUP, " "))
-    return strip(F.regexp_replace(bare, f"[{WHITESPACE}]+", " "))
+    return strip(F.regexp_replace(bare, BLANKS, " "))
 
 
 def html_metadata(html: Column) -> Column:

@@ -6,11 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the characters a text counts as white space for strip and
-# word split (Unicode white space plus the four ASCII separators).
+# word split (Unicode white space plus the four ASCII separators), as the
+# inside of a character class.
 WHITESPACE = (
     r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+WHITESPACE_CHARACTERS = "".join(
+    chr(code)
+    for first, last in [
+        (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+        (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
+    ]
+    for code in range(first, last + 1)
+)
+
+# Nearly every character of a text is printable and below U+1680. Testing that
+# range first spares the matcher the ten ranges above for almost all of them.
+_COMMON = r"!-~\x{a1}-\x{167f}"
+BLANKS = f"[[^{_COMMON}]&&[{WHITESPACE}]]+"
+NON_BLANKS = f"[{_COMMON}[^{WHITESPACE}]]+"
 
 # The most common function words of the four languages handled.
 STOP_WORDS = {
@@ -40,12 +55,12 @@ def all_stop_words() -> list[str]:
 
 def strip(text: Column) -> Column:
     """Drop leading and trailing white space of any kind (``trim`` drops blanks only)."""
-    return F.regexp_replace(text, f"^[{WHITESPACE}]+|[{WHITESPACE}]+$", "")
+    return F.btrim(text, F.lit(WHITESPACE_CHARACTERS))
 
 
 def word_count(text: Column) -> Column:
     """Number of white-space separated words; 0 for an empty text."""
-    return F.regexp_count(text, F.lit(f"[^{WHITESPACE}]+"))
+    return F.regexp_count(text, F.lit(NON_BLANKS))
 
 
 def tokens(text: Column) -> Column:
@@ -58,31 +73,31 @@ def trigrams(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("(?s)(?=(...))"), F.lit(1))
 
 
+# A word and its repetitions in a blank-separated sorted list. The possessive
+# quantifier makes the matcher loop instead of recursing, so a word may repeat
+# any number of times.
+_RUN = r"([^ ]+)(?: \1(?![^ ]))*+"
+
+
 def with_term_counts(df: DataFrame, words: Column, out: str) -> DataFrame:
     """Add ``out``: array of (term, n), one entry per distinct word, by term.
 
-    The count is made inside the row (sort the words, cut where the word
-    changes), so counting the words of a document needs no shuffle at all.
-    The two helper columns are materialised so that each is computed once.
+    The count is made inside the row (sort the words, then cut the list where
+    the word changes), so counting the words of a document needs no shuffle.
+    A run of n equal words has n times the word's length plus n - 1 blanks,
+    which gives n. The sorted list is a column of its own and is built once.
     """
-    sorted_col, starts_col = f"__{out}_sorted", f"__{out}_starts"
-    df = df.withColumn(sorted_col, F.sort_array(words))
-    ordered = F.col(sorted_col)
-    df = df.withColumn(
-        starts_col,
-        F.filter(
-            F.transform(ordered, lambda w, i: F.when((i == 0) | (w != F.get(ordered, i - 1)), i)),
-            lambda i: i.isNotNull(),
-        ),
-    )
-    starts = F.col(starts_col)
-    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), F.array(F.size(ordered)))
-    counted = F.filter(
-        F.zip_with(starts, ends, lambda a, b: F.when(a.isNotNull(), F.struct(
-            F.get(ordered, a).alias("term"), (b - a).cast("long").alias("n")))),
-        lambda e: e.isNotNull(),
-    )
-    return df.withColumn(out, counted).drop(sorted_col, starts_col)
+    listed = f"__{out}_listed"
+    df = df.withColumn(listed, F.array_join(F.sort_array(words), " "))
+
+    def runs(group: int) -> Column:
+        return F.regexp_extract_all(F.col(listed), F.lit(_RUN), F.lit(group))
+
+    def entry(word: Column, run: Column) -> Column:
+        times = F.call_function("div", F.length(run) + 1, F.length(word) + 1)
+        return F.struct(word.alias("term"), times.alias("n"))
+
+    return df.withColumn(out, F.zip_with(runs(1), runs(0), entry)).drop(listed)
 
 
 def exploded_terms(df: DataFrame, counts: str, *keep: str) -> DataFrame:

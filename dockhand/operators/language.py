@@ -1,88 +1,153 @@
-"""Language identification by the most frequent character trigrams per language."""
+"""Language identification by frequent words, with letter trigrams as tie-break.
+
+A profile holds, per language, its most frequent words and the most frequent
+trigrams of those words' letters. A text gets the language whose word profile
+covers most of its words; only where no word is known, or two languages tie,
+are its trigrams looked at. Both tests are made inside the row against
+constant hash sets, so a text is neither exploded nor shuffled.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockhand.functions.text import strip, trigrams
+from dockhand.functions.text import strip, tokens, trigrams
 
-PROFILE_SIZE = 300  # trigrams per language, the usual size of a rank-order n-gram profile
+PROFILE_SIZE = 300  # entries per language and kind, the usual size of a rank-order profile
 MAX_LANGUAGES = 200  # bounds the profile that is read to the driver
-MIN_LENGTH = 10  # shorter texts get no language
+MIN_LENGTH = 10  # texts up to this length get no language
 UNDECIDED = "und"
+WORD, GRAM = "word", "gram"
+
+
+@dataclass(frozen=True)
+class Profile:
+    """Per language: its frequent words and its frequent trigrams."""
+
+    words: dict[str, list[str]]
+    grams: dict[str, list[str]]
 
-Profile = dict[str, list[str]]
+
+def _padded(text: Column) -> Column:
+    return F.concat(F.lit(" "), text, F.lit(" "))
 
 
 def profile_table(
     labelled: DataFrame, text: str, lang: str, groups: list[str] | None = None, size: int = PROFILE_SIZE
 ) -> DataFrame:
-    """The ``size`` most frequent trigrams per (groups, language).
+    """Rows (groups, lang, kind, entry, rank): the ``size`` most frequent entries of each kind.
 
-    Counting combines on the map side, so a common trigram or a dominant
-    language reaches the shuffle as one row per task; the rank cut is taken
-    per task as well before the final one.
+    The texts are read once, to count words; words combine on the map side, so
+    a common word or a dominant language is one row per task in the shuffle.
+    Trigrams are counted over the distinct words, weighted by their counts.
     """
     keys = [*(groups or []), lang]
-    counted = (
-        labelled.select(*keys, F.explode(trigrams(F.col(text))).alias("gram"))
-        .groupBy(*keys, "gram")
+    words = (
+        labelled.select(*keys, F.explode(tokens(F.col(text))).alias("word"))
+        .groupBy(*keys, "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    best = Window.partitionBy(*keys).orderBy(F.desc("n"), "gram")
+    entries = words.select(
+        *keys,
+        "n",
+        F.inline(
+            F.concat(
+                F.array(F.struct(F.lit(WORD).alias("kind"), F.col("word").alias("entry"))),
+                F.transform(
+                    trigrams(_padded(F.col("word"))),
+                    lambda gram: F.struct(F.lit(GRAM).alias("kind"), gram.alias("entry")),
+                ),
+            )
+        ),
+    )
+    counted = entries.groupBy(*keys, "kind", "entry").agg(F.sum("n").alias("n"))
+    best = Window.partitionBy(*keys, "kind").orderBy(F.desc("n"), "entry")
     return counted.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= size)
 
 
-def load_profile(profile: DataFrame, lang: str = "lang", size: int = PROFILE_SIZE) -> Profile:
-    """Read a profile table to the driver. Runs a job.
+def _profile_of(rows: list, size: int) -> Profile:
+    found: dict[str, dict[str, list[str]]] = {WORD: {}, GRAM: {}}
+    for language, kind, entry in rows:
+        found[kind].setdefault(language, []).append(entry)
+    if len(found[WORD]) > MAX_LANGUAGES:
+        raise ValueError(f"language profile of more than {MAX_LANGUAGES} languages")
+    return Profile(
+        *({language: sorted(entries) for language, entries in sorted(found[kind].items())} for kind in (WORD, GRAM))
+    )
+
 
-    At most ``size`` rows per language exist by construction; more languages
-    than ``MAX_LANGUAGES`` are refused instead of growing the plan.
+def load_profiles(profile: DataFrame, group: Column, lang: str = "lang", size: int = PROFILE_SIZE) -> dict:
+    """Read a profile table to the driver, one profile per value of ``group``. Runs a job.
+
+    By construction there are at most ``size`` rows per language and kind; the
+    read is bounded and more languages than ``MAX_LANGUAGES`` are refused.
     """
-    limit = size * MAX_LANGUAGES
-    rows = profile.select(lang, "gram").limit(limit + 1).collect()
+    limit = 4 * size * MAX_LANGUAGES
+    rows = profile.select(group.alias("group"), lang, "kind", "entry").limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"language profile has more than {limit} rows")
-    loaded: Profile = {}
-    for language, gram in rows:
-        loaded.setdefault(language, []).append(gram)
-    return {language: sorted(grams) for language, grams in sorted(loaded.items())}
+    grouped: dict = {}
+    for value, *row in rows:
+        grouped.setdefault(value, []).append(row)
+    return {value: _profile_of(members, size) for value, members in grouped.items()}
 
 
 def train_profile(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Profile:
     """Profile from labelled texts. Runs a job over the labelled table."""
-    return load_profile(profile_table(labelled, text, lang), lang)
+    learned = load_profiles(profile_table(labelled, text, lang), F.lit(0), lang)
+    return learned.get(0, Profile({}, {}))
 
 
-def best_language(grams: Column, profile: Profile) -> Column:
-    """Language whose profile covers most trigrams of a text; ties by name.
+def _ranking(items: Column, known: dict[str, list[str]]) -> Column:
+    """Array of (minus hits, language), best first."""
 
-    Membership is tested against constant hash sets inside the row, so a text
-    is scored without exploding or shuffling it.
-    """
+    def hits(entries: list[str]) -> Column:
+        return F.size(F.filter(items, lambda item: item.isin(entries)))
+
+    return F.sort_array(
+        F.array(
+            *[F.struct((-hits(entries)).alias("rank"), F.lit(language).alias("language")) for language, entries in known.items()]
+        )
+    )
+
+
+def best_language(words: Column, profile: Profile) -> Column:
+    """Language of a text given its words; NULL words give NULL."""
+    if not profile.words:
+        return F.when(words.isNotNull(), UNDECIDED)
+    by_word = _ranking(words, profile.words)
+    by_gram = _ranking(trigrams(_padded(F.array_join(words, " "))), profile.grams)
+
+    def decide(ranking: Column) -> Column:
+        first, second = F.get(ranking, F.lit(0)), F.get(ranking, F.lit(1))
+        clear = (first["rank"] < 0) & (second.isNull() | (first["rank"] < second["rank"]))
+        return F.when(clear, first["language"])
+
+    def decide_last(ranking: Column) -> Column:
+        first = F.get(ranking, F.lit(0))
+        return F.when(first["rank"] < 0, first["language"]).otherwise(UNDECIDED)
+
+    # one-element arrays bind a ranking to a name, so it is computed once
+    by_words = F.get(F.transform(F.array(by_word), decide), F.lit(0))
+    by_grams = F.get(F.transform(F.array(by_gram), decide_last), F.lit(0))
+    return F.when(words.isNotNull(), F.coalesce(by_words, by_grams))
 
-    def covered(known: list[str]) -> Column:
-        return F.size(F.filter(grams, lambda gram: gram.isin(known)))
 
-    scores = [
-        F.struct((-covered(known)).alias("rank"), F.lit(language).alias("language"))
-        for language, known in profile.items()
-    ]
-    if not scores:
-        return F.lit(UNDECIDED)
-    winner = F.array_min(F.array(*scores))
-    return F.when(winner["rank"] < 0, winner["language"]).otherwise(UNDECIDED)
+def is_long_enough(text: Column) -> Column:
+    """Language gate: more than ``MIN_LENGTH`` characters besides outer white space."""
+    return F.length(strip(text)) > MIN_LENGTH
 
 
 def detect_language(df: DataFrame, profile: Profile, text: str = "text", out: str = "language") -> DataFrame:
     """Add the language; NULL for short texts, ``und`` when nothing matches."""
-    long_enough = F.length(strip(F.col(text))) > MIN_LENGTH
-    grams = f"__{out}_grams"
+    words = f"__{out}_words"
     return (
-        df.withColumn(grams, F.when(long_enough, trigrams(F.col(text))))
-        .withColumn(out, F.when(F.col(grams).isNotNull(), best_language(F.col(grams), profile)))
-        .drop(grams)
+        df.withColumn(words, F.when(is_long_enough(F.col(text)), tokens(F.col(text))))
+        .withColumn(out, best_language(F.col(words), profile))
+        .drop(words)
     )
 
 
@@ -98,12 +163,12 @@ def cross_validated_accuracy(labelled: DataFrame, text: str = "text", lang: str
     to learn the two profiles.
     """
     folded = labelled.select(F.col(text), F.col(lang), fold_of(F.col(text)).alias("fold"))
-    learned = profile_table(folded, text, lang, ["fold"])
-    profiles = [load_profile(learned.filter(F.col("fold") == fold), lang) for fold in (0, 1)]
-    scored = folded.withColumn("grams", trigrams(F.col(text))).withColumn(
+    learned = load_profiles(profile_table(folded, text, lang, ["fold"]), F.col("fold"), lang)
+    nothing = Profile({}, {})
+    scored = folded.withColumn("words", tokens(F.col(text))).withColumn(
         "language",
-        F.when(F.col("fold") == 0, best_language(F.col("grams"), profiles[1])).otherwise(
-            best_language(F.col("grams"), profiles[0])
+        F.when(F.col("fold") == 0, best_language(F.col("words"), learned.get(1, nothing))).otherwise(
+            best_language(F.col("words"), learned.get(0, nothing))
         ),
     )
     return scored.groupBy(lang).agg(

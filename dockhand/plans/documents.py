@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockhand.functions.crypto import sha256_hex
+from dockhand.functions.text import tokens
 from dockhand.functions.masking import mask_document_a, mask_document_b
-from dockhand.operators.enrich import content_stats, extract_entities, top_keywords
+from dockhand.operators.enrich import content_stats, extract_entities, keywords_of
 from dockhand.operators.intake import extract_with_fallback, route, validation_reason
-from dockhand.operators.language import Profile, detect_language
+from dockhand.operators.language import Profile, best_language, is_long_enough
 
 MASKS = {"a": mask_document_a, "b": mask_document_b}
 
@@ -37,9 +38,13 @@ def process_documents(
             "content": F.when(valid, MASKS[mask](F.col("content"))),
         }
     )
-    enriched = top_keywords(extract_entities(content_stats(masked), "content"), "content")
+    # the words are found once, for the keywords and for the language
+    worded = extract_entities(content_stats(masked), "content").withColumn("__words", tokens(F.col("content")))
+    keyed = keywords_of(worded, F.col("__words"))
+    gated = F.when(is_long_enough(F.col("content")), F.col("__words"))
     return (
-        detect_language(enriched, profile, "content")
+        keyed.withColumn("__words", gated)
+        .withColumn("language", best_language(F.col("__words"), profile))
         .withColumn("processed_at", processed_at)
         .select(
             "file_id",

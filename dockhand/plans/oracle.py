@@ -93,12 +93,16 @@ VIEWS = {
         SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}]+'), lambda x: x <> '')) AS term
         FROM documents""",
     "index": "SELECT term, doc_id, count(*) AS tf FROM words GROUP BY term, doc_id",
-    "letters": "SELECT doc_id, lang, text, string_split(lower(text), '') AS c FROM documents",
-    "grams": """
+    "folds": r"""
         SELECT doc_id, lang, CASE WHEN substring(md5(text), 1, 1) < '8' THEN 0 ELSE 1 END AS fold,
-               unnest(list_transform(range(1, len(c) - 1), lambda i: concat(c[i], c[i + 1], c[i + 2]))) AS gram
-        FROM letters""",
-    "doc_grams": "SELECT doc_id, lang, fold, gram, count(*) AS n FROM grams GROUP BY ALL",
+               unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}]+'), lambda x: x <> '')) AS word
+        FROM documents""",
+    "vocabulary": "SELECT fold, lang, word, count(*) AS n FROM folds GROUP BY fold, lang, word",
+    "entries": """
+        SELECT fold, lang, 'word' AS kind, word AS entry, n FROM vocabulary
+        UNION ALL
+        SELECT fold, lang, 'gram', substring(' ' || word || ' ', i, 3), n
+        FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)""",
 }
 
 
@@ -186,22 +190,37 @@ def _keywords(source: str, key: str, text: str) -> str:
         WHERE rn <= 10 GROUP BY {key}"""
 
 
-def _languages(source: str, key: str, text: str) -> str:
-    """(key, language) by the profile of ``profile(lang, gram)``; texts that match nothing are absent."""
-    return f"""
-        SELECT {key}, min_by(lang, (-hits, lang)) AS language
-        FROM (SELECT {key}, p.lang, count(*) AS hits
-              FROM (SELECT {key}, unnest(list_transform(range(1, len(c) - 1),
-                           lambda i: concat(c[i], c[i + 1], c[i + 2]))) AS gram
-                    FROM (SELECT {key}, string_split(lower({text}), '') AS c FROM {source}
-                          WHERE length({_strip(text)}) > 10)) g
-              JOIN profile p ON p.gram = g.gram GROUP BY {key}, p.lang)
-        GROUP BY {key}"""
+def _ranked_profile(groups: str) -> str:
+    return f"""(SELECT {groups}, kind, entry FROM
+                  (SELECT {groups}, kind, entry,
+                          row_number() OVER (PARTITION BY {groups}, kind ORDER BY sum(n) DESC, entry) AS rn
+                   FROM entries GROUP BY {groups}, kind, entry) WHERE rn <= 300)"""
+
 
+def _languages(source: str, key: str, text: str, fold: str = "0", match: str = "TRUE") -> str:
+    """(key, language) of every row some word or trigram of which is in ``profile``.
+
+    A clear winner by words decides; else the winner by trigrams of the words
+    written one blank apart.
+    """
+    return rf"""
+        SELECT {key}, coalesce(max(lang) FILTER (WHERE kind = 'word' AND place = 1 AND hits > next_hits),
+                               max(lang) FILTER (WHERE kind = 'gram' AND place = 1)) AS language
+        FROM (SELECT *, row_number() OVER (PARTITION BY {key}, kind ORDER BY hits DESC, lang) AS place,
+                     coalesce(lead(hits) OVER (PARTITION BY {key}, kind ORDER BY hits DESC, lang), 0) AS next_hits
+              FROM (SELECT {key}, p.kind, p.lang, count(*) AS hits
+                    FROM (SELECT {key}, fold, 'word' AS kind, unnest(w) AS entry FROM worded
+                          UNION ALL
+                          SELECT {key}, fold, 'gram', unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2]))
+                          FROM (SELECT {key}, fold, string_split(' ' || array_to_string(w, ' ') || ' ', '') AS c FROM worded)) g
+                    JOIN profile p ON p.kind = g.kind AND p.entry = g.entry AND {match}
+                    GROUP BY {key}, p.kind, p.lang))
+        GROUP BY {key}""".replace(
+        "FROM worded",
+        rf"""FROM (SELECT {key}, {fold} AS fold, list_filter(regexp_split_to_array(lower({text}), '[^\p{{L}}]+'), lambda x: x <> '') AS w
+                     FROM {source} WHERE length({_strip(text)}) > 10 OR {fold} > 0)""",
+    )
 
-_PROFILE = """profile AS (
-    SELECT lang, gram FROM (SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY sum(n) DESC, gram) AS rn
-                            FROM doc_grams GROUP BY lang, gram) WHERE rn <= 300)"""
 
 _ENTITY_RULES = [
     ("EMAIL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"),
@@ -457,25 +476,22 @@ ORACLE_SQL: dict[str, str] = {
     + " FROM documents",
     "encrypt_roundtrip": "SELECT doc_id, text FROM documents",
     "content_stats": f"SELECT doc_id, length(text) AS content_length, {_words_of('text')} AS word_count FROM documents",
-    "detect_language": f"""{_needs("letters grams doc_grams")}, {_PROFILE}
+    "detect_language": f"""{_needs("folds vocabulary entries")}, profile AS {_ranked_profile("lang")}
         SELECT d.doc_id, CASE WHEN length({_strip("d.text")}) > 10 THEN coalesce(l.language, 'und') END AS language
         FROM documents d LEFT JOIN ({_languages("documents", "doc_id", "text")}) l ON l.doc_id = d.doc_id""",
-    "language_accuracy": f"""{_needs("letters grams doc_grams")},
-        profile AS (SELECT fold, lang, gram FROM
-                      (SELECT fold, lang, gram, row_number() OVER (PARTITION BY fold, lang ORDER BY sum(n) DESC, gram) AS rn
-                       FROM doc_grams GROUP BY fold, lang, gram) WHERE rn <= 300),
-        hits AS (SELECT g.doc_id, p.lang, sum(g.n) AS hits FROM doc_grams g
-                 JOIN profile p ON p.gram = g.gram AND p.fold <> g.fold GROUP BY g.doc_id, p.lang),
-        guess AS (SELECT doc_id, min_by(lang, (-hits, lang)) AS language FROM hits GROUP BY doc_id)
+    "language_accuracy": f"""{_needs("folds vocabulary entries")}, profile AS {_ranked_profile("fold, lang")},
+        folded AS (SELECT doc_id, text, CASE WHEN substring(md5(text), 1, 1) < '8' THEN 1 ELSE 2 END AS fold FROM documents)
         SELECT d.lang, count(*) AS n_texts, count(*) FILTER (WHERE g.language = d.lang) AS n_right
-        FROM documents d LEFT JOIN guess g ON g.doc_id = d.doc_id GROUP BY d.lang""",
+        FROM documents d
+        LEFT JOIN ({_languages("folded", "doc_id", "text", "fold", "p.fold <> g.fold - 1")}) g ON g.doc_id = d.doc_id
+        GROUP BY d.lang""",
     "extract_entities": f"""
         SELECT doc_id, split_part(e, ':', 1) AS label, substring(e, strpos(e, ':') + 1) AS text, count(*) AS n
         FROM (SELECT doc_id, unnest({_entity_list("text")}) AS e FROM documents) GROUP BY ALL""",
     "gazetteer_entities": rf"""{_needs("words")},
         names AS (SELECT DISTINCT regexp_extract(url, '^https?://(?:www\.|m\.)?([a-z]+)\.', 1) AS name FROM pages)
         SELECT doc_id, name, 'SITE' AS label, count(*) AS n FROM words JOIN names ON name = term GROUP BY doc_id, name""",
-    "process_documents": f"""{_needs("files faulty letters grams doc_grams")}, {_PROFILE},
+    "process_documents": f"""{_needs("files faulty folds vocabulary entries")}, profile AS {_ranked_profile("lang")},
         extracted AS (SELECT file_id, path, source, size, lang,
                              CASE WHEN path LIKE '%.bin' THEN concat_ws('', 'ocr ', content) ELSE content END AS content,
                              CASE WHEN path LIKE '%.bin' THEN 'tesseract' ELSE 'tika' END AS extraction_method,
