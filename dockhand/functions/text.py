@@ -21,11 +21,9 @@ WHITESPACE_CHARACTERS = "".join(
     for code in range(first, last + 1)
 )
 
-# Nearly every character of a text is printable and below U+1680. Testing that
-# range first spares the matcher the ten ranges above for almost all of them.
-_COMMON = r"!-~\x{a1}-\x{167f}"
-BLANKS = f"[[^{_COMMON}]&&[{WHITESPACE}]]+"
-NON_BLANKS = f"[{_COMMON}[^{WHITESPACE}]]+"
+# The same set by property, which the matcher tests far faster than by ranges.
+BLANKS = r"(?U)[\s\x1c-\x1f]+"
+NON_BLANKS = r"(?U)[^\s\x1c-\x1f]+"
 
 # The most common function words of the four languages handled.
 STOP_WORDS = {

@@ -50,19 +50,9 @@ def profile_table(
         .groupBy(*keys, "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    entries = words.select(
-        *keys,
-        "n",
-        F.inline(
-            F.concat(
-                F.array(F.struct(F.lit(WORD).alias("kind"), F.col("word").alias("entry"))),
-                F.transform(
-                    trigrams(_padded(F.col("word"))),
-                    lambda gram: F.struct(F.lit(GRAM).alias("kind"), gram.alias("entry")),
-                ),
-            )
-        ),
-    )
+    as_words = words.select(*keys, "n", F.lit(WORD).alias("kind"), F.col("word").alias("entry"))
+    as_grams = words.select(*keys, "n", F.lit(GRAM).alias("kind"), F.explode(trigrams(_padded(F.col("word")))).alias("entry"))
+    entries = as_words.unionByName(as_grams)  # both read the same exchange
     counted = entries.groupBy(*keys, "kind", "entry").agg(F.sum("n").alias("n"))
     best = Window.partitionBy(*keys, "kind").orderBy(F.desc("n"), "entry")
     return counted.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= size)
@@ -101,39 +91,39 @@ def train_profile(labelled: DataFrame, text: str = "text", lang: str = "lang") -
     return learned.get(0, Profile({}, {}))
 
 
-def _ranking(items: Column, known: dict[str, list[str]]) -> Column:
-    """Array of (minus hits, language), best first."""
-
-    def hits(entries: list[str]) -> Column:
-        return F.size(F.filter(items, lambda item: item.isin(entries)))
-
-    return F.sort_array(
-        F.array(
-            *[F.struct((-hits(entries)).alias("rank"), F.lit(language).alias("language")) for language, entries in known.items()]
-        )
-    )
+def _quoted(entry: str) -> str:
+    return "'" + entry.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def best_language(words: Column, profile: Profile) -> Column:
-    """Language of a text given its words; NULL words give NULL."""
-    if not profile.words:
-        return F.when(words.isNotNull(), UNDECIDED)
-    by_word = _ranking(words, profile.words)
-    by_gram = _ranking(trigrams(_padded(F.array_join(words, " "))), profile.grams)
+def _ranking(items: str, known: dict[str, list[str]]) -> str:
+    """SQL for the array of (minus hits, language), best first.
 
-    def decide(ranking: Column) -> Column:
-        first, second = F.get(ranking, F.lit(0)), F.get(ranking, F.lit(1))
-        clear = (first["rank"] < 0) & (second.isNull() | (first["rank"] < second["rank"]))
-        return F.when(clear, first["language"])
+    Written as SQL text: a profile has thousands of constants, and a text is
+    handed over in one piece instead of one call per constant.
+    """
+    scores = [
+        f"struct(-size(filter({items}, item -> item IN ({', '.join(map(_quoted, entries))}))) AS rank, "
+        f"{_quoted(language)} AS language)"
+        for language, entries in known.items()
+    ]
+    return f"sort_array(array({', '.join(scores)}))"
 
-    def decide_last(ranking: Column) -> Column:
-        first = F.get(ranking, F.lit(0))
-        return F.when(first["rank"] < 0, first["language"]).otherwise(UNDECIDED)
 
-    # one-element arrays bind a ranking to a name, so it is computed once
-    by_words = F.get(F.transform(F.array(by_word), decide), F.lit(0))
-    by_grams = F.get(F.transform(F.array(by_gram), decide_last), F.lit(0))
-    return F.when(words.isNotNull(), F.coalesce(by_words, by_grams))
+def best_language(words: str, profile: Profile) -> Column:
+    """Language of a text given the column of its words; NULL words give NULL."""
+    if not profile.words:
+        return F.when(F.col(words).isNotNull(), UNDECIDED)
+    # one-element arrays bind the trigrams and the rankings to names, so each is computed once
+    by_word = F.expr(
+        f"get(transform(array({_ranking(words, profile.words)}), r -> CASE WHEN r[0].rank < 0 "
+        "AND (size(r) = 1 OR r[0].rank < get(r, 1).rank) THEN r[0].language END), 0)"
+    )
+    grams = "regexp_extract_all(concat(' ', array_join({}, ' '), ' '), '(?s)(?=(...))', 1)".format(words)
+    by_gram = F.expr(
+        f"get(transform(transform(array({grams}), g -> {_ranking('g', profile.grams)}), "
+        f"r -> CASE WHEN r[0].rank < 0 THEN r[0].language ELSE '{UNDECIDED}' END), 0)"
+    )
+    return F.when(F.col(words).isNotNull(), F.coalesce(by_word, by_gram))
 
 
 def is_long_enough(text: Column) -> Column:
@@ -146,7 +136,7 @@ def detect_language(df: DataFrame, profile: Profile, text: str = "text", out: st
     words = f"__{out}_words"
     return (
         df.withColumn(words, F.when(is_long_enough(F.col(text)), tokens(F.col(text))))
-        .withColumn(out, best_language(F.col(words), profile))
+        .withColumn(out, best_language(words, profile))
         .drop(words)
     )
 
@@ -167,8 +157,8 @@ def cross_validated_accuracy(labelled: DataFrame, text: str = "text", lang: str
     nothing = Profile({}, {})
     scored = folded.withColumn("words", tokens(F.col(text))).withColumn(
         "language",
-        F.when(F.col("fold") == 0, best_language(F.col("words"), learned.get(1, nothing))).otherwise(
-            best_language(F.col("words"), learned.get(0, nothing))
+        F.when(F.col("fold") == 0, best_language("words", learned.get(1, nothing))).otherwise(
+            best_language("words", learned.get(0, nothing))
         ),
     )
     return scored.groupBy(lang).agg(

@@ -44,7 +44,7 @@ def process_documents(
     gated = F.when(is_long_enough(F.col("content")), F.col("__words"))
     return (
         keyed.withColumn("__words", gated)
-        .withColumn("language", best_language(F.col("__words"), profile))
+        .withColumn("language", best_language("__words", profile))
         .withColumn("processed_at", processed_at)
         .select(
             "file_id",
