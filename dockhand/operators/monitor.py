@@ -147,7 +147,7 @@ def numbered_failures(log: DataFrame) -> DataFrame:
     return split_row_number(
         log.filter(is_failure(F.col("Status"))),
         ["FileID"],
-        F.date_trunc("HOUR", F.col("ts")),
+        F.unix_date(F.to_date("ts")) * 24 + F.hour("ts"),
         [F.col("ts"), F.col("event_id")],
         "attempt",
     )
@@ -287,7 +287,7 @@ def metric_samples(log: DataFrame, every: str = "30 seconds") -> DataFrame:
 
 def interval_rates(samples: DataFrame) -> DataFrame:
     """Files per second between consecutive samples; the first has no rate."""
-    seconds = F.timestamp_diff("SECOND", F.col("previous_ts"), F.col("sample_ts"))
+    seconds = (F.col("sample_ts") - F.col("previous_ts")).cast("interval second").cast("long")
     return samples.withColumn("seconds", seconds).filter(F.col("seconds") > 0).select(
         "sample_ts", "seconds", (F.col("n_processed") / F.col("seconds")).alias("rate")
     )

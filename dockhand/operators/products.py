@@ -12,14 +12,14 @@ def product_parts(parts: DataFrame, bom: DataFrame, revisions: DataFrame, change
     """Every product's parts with each revision and each change.
 
     Duplicates are kept: a part with r revisions and c changes gives r * c rows
-    per use. AQE chooses broadcast or sort-merge from measured sizes and
-    splits a part used by a large share of all products.
+    per use. What hangs on a part is joined first, so the uses take part in
+    one join only; AQE broadcasts or merges by measured size, and can split a
+    part used by a large share of all products because no further join relies
+    on the partitioning.
     """
-    return (
-        bom.join(parts, "PartID")
-        .join(revisions, "PartID")
-        .join(changes, "PartID", "left")
-        .select("ProductID", "PartNumber", "Nomenclature", "Revision", "ChangeDescription")
+    described = parts.join(revisions, "PartID").join(changes, "PartID", "left")
+    return bom.join(described, "PartID").select(
+        "ProductID", "PartNumber", "Nomenclature", "Revision", "ChangeDescription"
     )
 
 

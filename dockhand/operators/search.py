@@ -8,9 +8,20 @@ from pyspark.sql import functions as F
 from dockhand.functions.text import exploded_terms, tokens, with_term_counts
 
 
-def postings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Index rows (term, key, tf). No shuffle: a document is counted in its row."""
-    counted = with_term_counts(docs.select(key, text), tokens(F.col(text)), "__terms")
+def _lower_distinct(terms: list[str]) -> list[str]:
+    return sorted({term.lower() for term in terms})
+
+
+def postings(docs: DataFrame, key: str = "doc_id", text: str = "text", terms: list[str] | None = None) -> DataFrame:
+    """Index rows (term, key, tf). No shuffle: a document is counted in its row.
+
+    With ``terms`` only these words are counted, for a search without a
+    stored index.
+    """
+    words = tokens(F.col(text))
+    if terms is not None:
+        words = F.filter(words, lambda word: word.isin(_lower_distinct(terms)))
+    counted = with_term_counts(docs.select(key, text), words, "__terms")
     return exploded_terms(counted, "__terms", key).select("term", key, F.col("n").alias("tf"))
 
 
@@ -32,7 +43,7 @@ def write_index(index: DataFrame, path: str, key: str = "doc_id", mode: str = "o
 
 def matching(index: DataFrame, terms: list[str]) -> DataFrame:
     """Index rows of the query terms; on a stored index the filter is pushed to the scan."""
-    return index.filter(F.col("term").isin(sorted({term.lower() for term in terms})))
+    return index.filter(F.col("term").isin(_lower_distinct(terms)))
 
 
 def search(index: DataFrame, n_docs: DataFrame, terms: list[str], k: int, key: str = "doc_id") -> DataFrame:

@@ -115,6 +115,10 @@ def revision_effectivity(spark: SparkSession, folder: str) -> DataFrame:
     return first_use.withColumn("EffectiveToDate", F.lead("UsedOn").over(following))
 
 
+def _new_year(year: int):
+    return F.lit(f"{year}-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def parts_snapshot(spark: SparkSession, folder: str, year: int) -> DataFrame:
     """The parts in use in a year, with the heaviest use as their mass.
 
@@ -122,7 +126,7 @@ def parts_snapshot(spark: SparkSession, folder: str, year: int) -> DataFrame:
     """
     use = (
         table(spark, folder, "lineitem")
-        .filter(F.year("l_shipdate") == year)
+        .filter((F.col("l_shipdate") >= _new_year(year)) & (F.col("l_shipdate") < _new_year(year + 1)))
         .groupBy(F.col("l_partkey").alias("PartID"))
         .agg(F.max("l_quantity").cast("decimal(10,2)").alias("Mass"))
     )

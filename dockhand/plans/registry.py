@@ -114,13 +114,13 @@ def term_stats(spark, folder):
 def search_terms(spark, folder):
     docs = b.documents(spark, folder)
     n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    return search.search(search.postings(docs), n_docs, SEARCH_TERMS, k=20)
+    return search.search(search.postings(docs, terms=SEARCH_TERMS), n_docs, SEARCH_TERMS, k=20)
 
 
 @query
 def facet_counts(spark, folder):
     docs = b.documents(spark, folder)
-    return search.facet_counts(search.postings(docs), docs, SEARCH_TERMS, ["lang", "source"])
+    return search.facet_counts(search.postings(docs, terms=SEARCH_TERMS), docs, SEARCH_TERMS, ["lang", "source"])
 
 
 @query
