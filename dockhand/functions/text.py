@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,7 +79,17 @@ def trigrams(text: Column) -> Column:
 _RUN = r"([^ ]+)(?: \1(?![^ ]))*+"
 
 
-def with_term_counts(df: DataFrame, words: Column, out: str) -> DataFrame:
+def _term_and_count(term: Column, n: Column) -> Column:
+    return F.struct(term.alias("term"), n.alias("n"))
+
+
+def _rank_and_term(term: Column, n: Column) -> Column:
+    return F.struct((-n).alias("rank"), term.alias("term"))
+
+
+def with_term_counts(
+    df: DataFrame, words: Column, out: str, shape: Callable[[Column, Column], Column] = _term_and_count
+) -> DataFrame:
     """Add ``out``: array of (term, n), one entry per distinct word, by term.
 
     The count is made inside the row (sort the words, then cut the list where
@@ -93,7 +105,7 @@ def with_term_counts(df: DataFrame, words: Column, out: str) -> DataFrame:
 
     def entry(word: Column, run: Column) -> Column:
         times = F.call_function("div", F.length(run) + 1, F.length(word) + 1)
-        return F.struct(word.alias("term"), times.alias("n"))
+        return shape(word, times)
 
     return df.withColumn(out, F.zip_with(runs(1), runs(0), entry)).drop(listed)
 
@@ -108,9 +120,8 @@ def exploded_terms(df: DataFrame, counts: str, *keep: str) -> DataFrame:
     return df.select(*keep, F.inline_outer(counts)).filter(F.col("term").isNotNull())
 
 
-def top_terms(counts: Column, k: int) -> Column:
-    """The ``k`` most frequent terms of a term-count array; ties in term order."""
-    ranked = F.sort_array(
-        F.transform(counts, lambda e: F.struct((-e["n"]).alias("rank"), e["term"].alias("term")))
-    )
-    return F.transform(F.slice(ranked, 1, k), lambda e: e["term"])
+def with_top_terms(df: DataFrame, words: Column, out: str, k: int) -> DataFrame:
+    """Add ``out``: the ``k`` most frequent words, ties in word order."""
+    counted = with_term_counts(df, words, out, _rank_and_term)
+    best = F.slice(F.sort_array(F.col(out)), 1, k)
+    return counted.withColumn(out, F.transform(best, lambda e: e["term"]))

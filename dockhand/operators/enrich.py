@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockhand.functions.text import all_stop_words, exploded_terms, tokens, top_terms, with_term_counts, word_count
+from dockhand.functions.text import all_stop_words, exploded_terms, tokens, with_term_counts, with_top_terms, word_count
 
 KEYWORDS_PER_DOCUMENT = 10
 
@@ -65,8 +65,7 @@ def keywords_of(df: DataFrame, words: Column, k: int = KEYWORDS_PER_DOCUMENT) ->
     Ties go by the word. No shuffle: words are counted inside the row.
     """
     stop = all_stop_words()
-    counted = with_term_counts(df, F.filter(words, lambda word: ~word.isin(stop)), "__terms")
-    return counted.withColumn("keywords", top_terms(F.col("__terms"), k)).drop("__terms")
+    return with_top_terms(df, F.filter(words, lambda word: ~word.isin(stop)), "keywords", k)
 
 
 def top_keywords(df: DataFrame, text: str = "text", k: int = KEYWORDS_PER_DOCUMENT) -> DataFrame:

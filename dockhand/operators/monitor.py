@@ -38,10 +38,10 @@ class RetryPolicy:
 
 # The four retry policies in use.
 RETRY_POLICIES = [
-    RetryPolicy("refactored", 3),
-    RetryPolicy("older", 3, wait_after_last=True),
-    RetryPolicy("db_worker", 4),
-    RetryPolicy("fixed", 5, fixed_delay=2, wait_after_last=True),
+    RetryPolicy("doubling_3", 3),
+    RetryPolicy("doubling_3_trailing", 3, wait_after_last=True),
+    RetryPolicy("doubling_4", 4),
+    RetryPolicy("fixed_5", 5, fixed_delay=2, wait_after_last=True),
 ]
 
 

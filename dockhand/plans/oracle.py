@@ -440,8 +440,8 @@ ORACLE_SQL: dict[str, str] = {
     "file_outcome": f"{_needs('log runs outcomes')} SELECT * FROM outcomes",
     "monitor_current": f"{_needs('log monitor')} SELECT * FROM monitor",
     "retry_schedule": f"""{_needs("log runs failures")},
-        policy AS (SELECT * FROM (VALUES ('refactored', 3, NULL, false), ('older', 3, NULL, true),
-                                         ('db_worker', 4, NULL, false), ('fixed', 5, 2, true)) p(policy, attempts, fixed, last_too))
+        policy AS (SELECT * FROM (VALUES ('doubling_3', 3, NULL, false), ('doubling_3_trailing', 3, NULL, true),
+                                         ('doubling_4', 4, NULL, false), ('fixed_5', 5, 2, true)) p(policy, attempts, fixed, last_too))
         SELECT policy, event_id, FileID, attempt,
                CASE WHEN attempt < attempts OR (attempt = attempts AND last_too)
                     THEN CAST(coalesce(fixed, pow(2, attempt)) AS BIGINT) END AS delay_seconds,

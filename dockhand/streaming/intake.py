@@ -15,6 +15,9 @@ from dockhand.plans.documents import process_documents
 from dockhand.sources.landing import empty_files, stream_landing
 
 
+BROADCAST_HASHES = 500_000  # hashes of a micro-batch that may be broadcast, about 60 MB
+
+
 def landed_documents(files: DataFrame) -> DataFrame:
     """Landed bytes as input of the document flow; HTML files give their visible text."""
     text = F.col("content").cast("string")
@@ -95,8 +98,9 @@ def start_registry_intake(
 ) -> StreamingQuery:
     """Register contents not seen before: (filename, sha256, md5), one subfolder per micro-batch.
 
-    A batch is compared with the subfolders of other batches only, so running
-    it again gives the same rows.
+    A batch is compared with the subfolders of earlier batches only, so running
+    it again gives the same rows. A batch of bounded size is broadcast, and the
+    registry is filtered where it lies; else both sides are joined by hash.
     """
     hashed = stream_landing(spark, landing_dir, max_files_per_trigger).select(
         "path", sha256_hex(F.col("content")).alias("sha256"), md5_hex(F.col("content")).alias("md5")
@@ -111,11 +115,12 @@ def start_registry_intake(
             .filter(F.col("batch_id") < batch_id)
         )
         first = Window.partitionBy("sha256").orderBy("path")
-        fresh = (
-            batch.withColumn("__rn", F.row_number().over(first))
-            .filter(F.col("__rn") == 1)
-            .join(known.select("sha256"), "sha256", "left_anti")
-        )
+        unique = batch.withColumn("__rn", F.row_number().over(first)).filter(F.col("__rn") == 1)
+        hashes = unique.select("sha256")
+        if max_files_per_trigger and max_files_per_trigger <= BROADCAST_HASHES:
+            hashes = F.broadcast(hashes)  # at most max_files_per_trigger rows
+        seen = known.join(hashes, "sha256", "left_semi").select("sha256").distinct()
+        fresh = unique.join(seen, "sha256", "left_anti")
         _write_once(fresh.select(basename(F.col("path")).alias("filename"), "sha256", "md5"), registry_dir, batch_id)
 
     # an empty first subfolder makes the registry readable from the start

@@ -64,11 +64,11 @@ def test_retry_delays_of_every_policy(spark):
     got = {}
     for r in monitor.retry_schedule(log(spark, rows)).orderBy("attempt").collect():
         got.setdefault(r.policy, []).append((r.delay_seconds, r.next_retry_at is not None))
-    assert [d for d, _ in got["refactored"]] == [2, 4, None, None, None, None]
-    assert [d for d, _ in got["older"]] == [2, 4, 8, None, None, None]
-    assert [d for d, _ in got["db_worker"]] == [2, 4, 8, None, None, None]
-    assert [d for d, _ in got["fixed"]] == [2, 2, 2, 2, 2, None]
-    assert [again for _, again in got["refactored"]] == [True, True, False, False, False, False]
+    assert [d for d, _ in got["doubling_3"]] == [2, 4, None, None, None, None]
+    assert [d for d, _ in got["doubling_3_trailing"]] == [2, 4, 8, None, None, None]
+    assert [d for d, _ in got["doubling_4"]] == [2, 4, 8, None, None, None]
+    assert [d for d, _ in got["fixed_5"]] == [2, 2, 2, 2, 2, None]
+    assert [again for _, again in got["doubling_3"]] == [True, True, False, False, False, False]
 
 
 def test_samples_across_days(spark):
