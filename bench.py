@@ -21,13 +21,10 @@ from dockhand.session import build_session  # noqa: E402
 HEADLINE = [
     "process_documents",
     "sanitize_documents",
-    "mask_content_a",
     "dedup_by_hash",
     "product_part_quantity",
     "product_parts",
     "inverted_index",
-    "term_stats",
-    "top_keywords",
     "detect_language",
     "extract_html_text",
     "monitor_current",
