@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +21,11 @@ DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder; Python workers will find this library where the driver found it."""
+    context, home = spark.sparkContext, str(Path(__file__).resolve().parents[2])
+    path = context.environment.get("PYTHONPATH", "")
+    if home not in path.split(os.pathsep):
+        context.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [path, home]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -9,14 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockhand.llm import chat, exact_dedup, mixing, packing, topk
+from dockhand.llm import chat, exact_dedup, mixing, packing, pages, quality, secrets, topk
 from dockhand.llm.common import table
+from dockhand.llm.subwords import default_vocabulary
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"), default_vocabulary())
+
+
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -35,6 +40,14 @@ def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_texts(table(spark, sf_dir, "pages"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -43,7 +56,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op4_chat_formatting, op5_topk_search, op8_source_mixing, op10_packing)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_exact_dedup,
+        op2_secret_scan,
+        op4_chat_formatting,
+        op5_topk_search,
+        op6_html_extraction,
+        op7_quality,
+        op8_source_mixing,
+        op10_packing,
+    )
+}
 
 ORACLE_SQL = {
     "op1_exact_dedup": r"""
