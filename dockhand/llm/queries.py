@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockhand.llm import chat, exact_dedup, mixing, packing, pages, quality, secrets, topk
+from dockhand.llm import chat, exact_dedup, mixing, near_dedup, packing, pages, quality, secrets, topk
 from dockhand.llm.common import table
 from dockhand.llm.subwords import default_vocabulary
 
@@ -22,6 +22,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"), default_vocabulary())
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -61,6 +65,7 @@ QUERIES = {
     for f in (
         op1_exact_dedup,
         op2_secret_scan,
+        op3_near_dedup,
         op4_chat_formatting,
         op5_topk_search,
         op6_html_extraction,
