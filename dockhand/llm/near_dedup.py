@@ -12,7 +12,7 @@ Documents with equal sets are one class, so copies never meet each other. A
 bucket of classes is not turned into pairs: first every member is compared
 with the smallest one; then only members that still lie in different
 components meet, those outside the bucket's largest component against all,
-in blocks of bounded size, and a pair is taken up only in the first band it shares.
+in blocks of bounded size.
 With the default bands a pair at similarity 0.8 is missed once in ten million.
 
 Defined results: a text without words (or null) has an empty set and is linked
@@ -40,7 +40,8 @@ REGISTERS = BANDS * ROWS
 BASE, RATE = 1.001, 20.0
 LEAST, OF = 80, 100  # linked at OF * common >= LEAST * union
 UNLIKELY = 24.0  # twice the log-likelihood ratio beyond which a pair is not confirmed
-BLOCK = 1024
+LEAST_EQUAL = 120  # equal registers; at the threshold 160 are expected, with a deviation below 6
+BLOCK, CHUNK, ROW_WEIGHT = 1 << 18, 1 << 18, 100  # in shingles
 PARTNERS = 256
 MOST_IDS_SENT = 1_000_000
 
@@ -163,52 +164,60 @@ def _estimate(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(kept)), batch.column("b").filter(pa.array(kept))], schema=PAIRS)
 
 
+class _Place:
+    """The block of members that ask in one place, with their sets; the others come by one at a time."""
+
+    def __init__(self):
+        self.rows: list[tuple[int, int, int, bytes, bytes]] = []
+        self.ready = False
+
+    def prepare(self) -> None:
+        self.ready = True
+        self.reps, self.comps, self.n = (np.array([r[i] for r in self.rows], dtype=np.int64) for i in range(3))
+        self.sketches = np.frombuffer(b"".join(r[3] for r in self.rows), dtype=np.uint16).reshape(len(self.rows), REGISTERS)
+        self.sets = shingle_sets([r[4] for r in self.rows])
+        self.found: set[tuple[int, int]] = set()
+
+    def meet(self, main: bool, rep: int, comp: int, n: int, sketch: np.ndarray, text: bytes) -> Iterator[tuple[int, int]]:
+        """Links of one member with the block: other component, possible sizes, likely registers, full sets."""
+        ask = (self.comps != comp) & (OF * np.minimum(self.n, n) >= LEAST * np.maximum(self.n, n))
+        if not main:
+            ask &= self.reps < rep  # two members of the rest meet once
+        at = np.flatnonzero(ask)
+        at = at[(self.sketches[at] == sketch).sum(axis=1) >= LEAST_EQUAL]
+        if not len(at):
+            return
+        ahead, behind = (self.sketches[at] > sketch).sum(axis=1), (self.sketches[at] < sketch).sum(axis=1)
+        at = at[~unlikely(ahead, behind, self.n[at].astype(np.float64), np.full(len(at), float(n)))]
+        own = shingle_sets([text])[0] if len(at) else None
+        for i in at.tolist():
+            link = (int(self.comps[i]), comp)
+            if link in self.found:
+                continue  # these components are linked already
+            both = common(own, self.sets[i])
+            if OF * both >= LEAST * (len(own) + len(self.sets[i]) - both):
+                self.found.add(link)
+                yield int(self.reps[i]), rep
+
+
 def _meet(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of one place (bucket, block of the rest, chunk of all): different components, first shared band."""
-
-    def pairs(key: int, rows: dict[str, list]) -> pa.RecordBatch | None:
-        rest = np.array(rows["rest"], dtype=bool)
-        x, y = np.flatnonzero(rest), np.flatnonzero(~rest)
-        if not len(x) or not len(y):
-            return None
-        reps, comps, n = (np.array(rows[c], dtype=np.int64) for c in ("rep", "component", "n"))
-        main = np.array(rows["main"], dtype=bool)
-        sketches = np.frombuffer(b"".join(rows["registers"]), dtype=np.uint16).reshape(len(reps), REGISTERS)
-        keys = band_keys(sketches)
-        band = int(np.flatnonzero(keys[0] == key)[0])
-        found_a, found_b = [], []
-        for i in x:
-            # two members of the rest meet once, where the smaller one asks
-            ask = (comps[y] != comps[i]) & (main[y] | (reps[y] > reps[i])) & (OF * np.minimum(n[y], n[i]) >= LEAST * np.maximum(n[y], n[i]))
-            j = y[ask]
-            if not len(j):
-                continue
-            first = (keys[j] == keys[i]).argmax(axis=1)
-            j = j[first == band]
-            if len(j):
-                greater, smaller = (sketches[i] > sketches[j]).sum(axis=1), (sketches[i] < sketches[j]).sum(axis=1)
-                j = j[~unlikely(greater, smaller, np.full(len(j), float(n[i])), n[j].astype(np.float64))]
-                found_a.append(np.full(len(j), reps[i]))
-                found_b.append(reps[j])
-        if not found_a:
-            return None
-        a, b = np.concatenate(found_a), np.concatenate(found_b)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=PAIRS)
-
-    names = ("rep", "component", "n", "main", "rest", "registers")
-    place, rows = None, {}
+    """Links between different components in the places (cell, block, chunk), which come in order, askers first."""
+    names = ("cell", "block", "chunk", "asks", "main", "rep", "component", "n", "registers", "text")
+    place, here = None, _Place()
     for batch in source:
-        columns = {name: batch.column(name).to_pylist() for name in ("key", "block", "chunk", *names)}
-        for i in range(batch.num_rows):
-            here = (columns["key"][i], columns["block"][i], columns["chunk"][i])
-            if here != place:
-                if place is not None and (found := pairs(place[0], rows)):
-                    yield found
-                place, rows = here, {name: [] for name in names}
-            for name in names:
-                rows[name].append(columns[name][i])
-    if place is not None and (found := pairs(place[0], rows)):
-        yield found
+        links = []
+        for cell, block, chunk, asks, main, rep, comp, n, registers, text in zip(
+            *(batch.column(c).to_pylist() for c in names), strict=True
+        ):
+            if (cell, block, chunk) != place:
+                place, here = (cell, block, chunk), _Place()
+            if asks:
+                here.rows.append((rep, comp, n, registers, text))
+            elif here.rows:
+                if not here.ready:
+                    here.prepare()
+                links += here.meet(main, rep, comp, n, np.frombuffer(registers, dtype=np.uint16), text)
+        yield from batches(links, PAIRS)
 
 
 def _confirm(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,6 +242,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose full sets reach the threshold; a much-paired text is met in chunks of partners."""
     chunks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("chunks"))
     pairs = pairs.join(chunks, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk"))
+    texts = texts.select("doc_id", "text")
     partners = pairs.join(texts.withColumnRenamed("doc_id", "b"), "b").select("a", "chunk", "b", "text")
     heads = chunks.select("a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
     heads = heads.join(texts.withColumnRenamed("doc_id", "a"), "a").select("a", "chunk", F.lit(None).cast("long").alias("b"), "text")
@@ -240,29 +250,33 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return dealt.select("a", "b", "text").mapInArrow(_confirm, "a long, b long")
 
 
-def _rest(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
-    """Candidate pairs between different components of a bucket."""
+def _links_of_rest(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between different components of one bucket.
+
+    Buckets with the same largest component form a cell. In a cell the members outside that component meet
+    all members, in places of a block of the former and a chunk of the latter, both of bounded size.
+    """
     label = labels.withColumnRenamed("id", "rep")
-    rows = members.join(label, "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    rows = members.join(label, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
     sizes = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("held"))
-    largest = sizes.groupBy("key").agg(
-        F.max(F.struct("held", "component"))["component"].alias("largest"), F.max("held").alias("most"), F.sum("held").alias("size")
-    )
-    largest = largest.filter("most < size").select(
-        "key", "largest", F.ceil((F.col("size") - F.col("most")) / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("size") / (4 * BLOCK)).cast("int").alias("chunks")
+    cells = sizes.groupBy("key").agg(F.max(F.struct("held", "component"))["component"].alias("cell"), F.count(F.lit(1)).alias("parts"))
+    nodes = rows.join(cells.filter("parts > 1").select("key", "cell"), "key").select("cell", "rep", "component").distinct()
+    nodes = cut(nodes.join(texts.select(F.col("doc_id").alias("rep"), "n"), "rep"))
+    main, weight = F.col("component") == F.col("cell"), F.col("n") + ROW_WEIGHT
+    plan = nodes.groupBy("cell").agg(
+        F.ceil(F.sum(F.when(~main, weight)) / BLOCK).cast("int").alias("blocks"), F.ceil(F.sum(weight) / CHUNK).cast("int").alias("chunks")
     )
-    rows = rows.join(largest, "key").join(reps.select("rep", "registers"), "rep")
-    place = F.xxhash64("rep")
-    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    rows = nodes.join(plan, "cell").join(texts.select(F.col("doc_id").alias("rep"), "registers", "text"), "rep")
+    place, keep = F.xxhash64("rep"), ("rep", "component", "n", "registers", "text")
     block, chunk = F.pmod(place, F.col("blocks")).cast("int"), F.pmod(place, F.col("chunks")).cast("int")
-    keep = ("key", "rep", "component", "n", "registers")
-    main = (F.col("component") == F.col("largest")).alias("main")
-    all_ = rows.select(*keep, main, F.lit(False).alias("rest"), F.explode(every("blocks")).alias("block"), chunk.alias("chunk"))
-    rest = rows.filter("component <> largest").select(
-        *keep, F.lit(False).alias("main"), F.lit(True).alias("rest"), block.alias("block"), F.explode(every("chunks")).alias("chunk")
-    )
-    dealt = all_.unionByName(rest).repartition("key", "block", "chunk").sortWithinPartitions("key", "block", "chunk", "rep")
-    return dealt.mapInArrow(_meet, "a long, b long")
+
+    def every(column: str) -> F.Column:
+        return F.explode(F.sequence(F.lit(0), F.col(column) - 1))
+
+    asking = rows.filter(~main).select("cell", block.alias("block"), every("chunks").alias("chunk"), F.lit(True).alias("asks"), main.alias("main"), *keep)
+    asked = rows.select("cell", every("blocks").alias("block"), chunk.alias("chunk"), F.lit(False).alias("asks"), main.alias("main"), *keep)
+    dealt = asking.unionByName(asked).repartition("cell", "block", "chunk")
+    return dealt.sortWithinPartitions("cell", "block", "chunk", F.desc("asks")).mapInArrow(_meet, "a long, b long")
 
 
 def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -295,10 +309,10 @@ def near_groups(docs: DataFrame) -> DataFrame:
     if met.count() <= MOST_IDS_SENT:
         wanted = F.broadcast(wanted)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").cast("binary").alias("text"))
-    texts = written(texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    texts = texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = written(texts.join(reps.withColumnRenamed("rep", "doc_id"), "doc_id"))
     labels = cut(components(confirmed(likely, texts)))
-    rest = cut(_rest(members.select("key", "rep", "n"), labels, reps).distinct())
-    labels = _relabelled(labels, confirmed(rest, texts))
+    labels = _relabelled(labels, _links_of_rest(members.select("key", "rep"), labels, texts))
     classes = least.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     classes = classes.select("digest", F.coalesce("component", "rep").alias("component"))
     rows = sketches.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(classes, "digest", "left")
