@@ -7,9 +7,18 @@ next one's documents. All but the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dockhand.llm import exact_dedup, mixing, packing
-from dockhand.llm.common import DOCUMENT, table, written
+from dockhand.llm import exact_dedup, mixing, near_dedup, packing, quality
+from dockhand.llm.common import DOCUMENT, fold, table, written
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier of the labelled rows accepts."""
+    labels = table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.filter(fold(F.col("doc_id")) != 0))
+    scored = quality.with_scores(docs.select(*DOCUMENT), model)
+    return scored.filter(F.col("score") >= quality.THRESHOLD).select(*DOCUMENT)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,6 +26,11 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.drop_copies(docs).select(*DOCUMENT)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest doc_id."""
+    return near_dedup.drop_near_copies(docs).select(*DOCUMENT)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights; a document taken more than once is there as often."""
     return mixing.mixed_documents(docs).select(*DOCUMENT)
@@ -27,7 +41,13 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("exact_copies", exact_copies), ("mix", mix), ("pack", pack)]
+STAGES = [
+    ("good_quality", good_quality),
+    ("exact_copies", exact_copies),
+    ("near_copies", near_copies),
+    ("mix", mix),
+    ("pack", pack),
+]
 
 # Model scores, seeded choices and tokenizers have no SQL form; tests compare with brute force.
 ORACLE_SQL = None

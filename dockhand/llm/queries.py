@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockhand.llm import chat, exact_dedup, mixing, near_dedup, packing, pages, quality, secrets, topk
+from dockhand.llm import chat, exact_dedup, lm, mixing, near_dedup, packing, pages, quality, secrets, topk
 from dockhand.llm.common import table
 from dockhand.llm.subwords import default_vocabulary
 
@@ -56,6 +56,10 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ QUERIES = {
         op6_html_extraction,
         op7_quality,
         op8_source_mixing,
+        op9_lm_scoring,
         op10_packing,
     )
 }
