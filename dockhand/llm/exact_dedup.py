@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import pickle
+import shutil
 import tempfile
 from collections.abc import Iterator
 
@@ -125,7 +126,12 @@ class OwnerTrie:
             return  # one text alone cannot be divided
         file = tempfile.TemporaryFile()  # noqa: SIM115  closed when it has been read back
         for key, end in self._terminals(heavy, path + node.label):
-            pickle.dump((key, end.owner, end.rows), file, protocol=5)
+            if end.spilled is not None:  # spilled before a node came above it
+                end.spilled.seek(0)
+                shutil.copyfileobj(end.spilled, file)
+                end.spilled.close()
+            else:
+                pickle.dump((key, end.owner, end.rows), file, protocol=5)
         self.size -= self._weight(heavy)
         heavy.children, heavy.rows, heavy.spilled = {}, 0, file
         self.spills += 1

@@ -60,7 +60,7 @@ def sainte_lague(votes: np.ndarray, seats: int, most: np.ndarray) -> np.ndarray:
             high = middle
         else:
             low = middle
-    given = dealt(high)
+    given = dealt(high * (1 + 1e-9))  # above all quotients that tie at the divisor
     while given.sum() < seats:
         quotients = np.where(given < most, votes / (2 * given + 1), -1.0)
         given[int(np.argmax(quotients))] += 1
@@ -87,6 +87,9 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
     def share(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # the list of sources is a setting of the mix and lies in one task
+        parts = list(parts)
+        if not parts:
+            return
         rows = pd.concat(parts, ignore_index=True)
         keys = [(s is None, s.encode() if s is not None else b"") for s in rows["source"]]
         rows = rows.iloc[sorted(range(len(keys)), key=keys.__getitem__)].reset_index(drop=True)
@@ -105,6 +108,9 @@ def _quotas(targets: DataFrame, shards: DataFrame, block: int) -> DataFrame:
     """Blocks each (source, shard) has to give."""
 
     def by_source(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = list(parts)
+        if not parts:
+            return
         rows = pd.concat(parts, ignore_index=True)
         blocks, targets = rows["blocks"].to_numpy(dtype=np.int64), rows["target"].to_numpy(dtype=np.float64)
         full = targets >= MOST * rows["source_size"].to_numpy(dtype=np.float64)

@@ -191,6 +191,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     rows = rows.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")  # at most 2 * sample ids
 
     def learn(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = list(parts)
+        if not parts:
+            return
         got = pd.concat(parts, ignore_index=True)
         if got["label"].nunique() < 2:
             return

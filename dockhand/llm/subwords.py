@@ -25,10 +25,11 @@ class WordIds:
 
     The tokenizer never joins anything across ASCII white space, so words are
     encoded one by one and kept; new words of a batch are encoded together.
-    A cache is emptied when it holds ``CACHED_WORDS`` entries.
+    A cache is emptied when it holds ``cached`` entries.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, cached: int = CACHED_WORDS):
+        self.cached = cached
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -83,24 +84,24 @@ class WordIds:
                 parts.append((word, text, tail))
             else:
                 whole.append(word)
-        if len(cores) > CACHED_WORDS:
+        if len(cores) > self.cached:
             cores.clear()
             letters = dict.fromkeys(text for _, text, _ in parts)
         cores.update(zip(letters, self._encode_letters(list(letters)), strict=True))
         ends.update(zip(tails, self._encode(list(tails)), strict=True))
         for word, text, tail in parts:
             self.known[word] = cores[text] + ends[tail]
-        if len(ends) > CACHED_WORDS:
+        if len(ends) > self.cached:
             ends.clear()
             ends[""] = b""
         self.known.update(zip(whole, self._encode([w.decode("utf-8", "replace") for w in whole]), strict=True))
 
-    def ids(self, texts: Sequence[bytes]) -> list[np.ndarray]:
-        """Ids of each text, given as UTF-8."""
+    def ids(self, texts: Sequence[bytes], step: int = 64) -> list[np.ndarray]:
+        """Ids of each text, given as UTF-8; ``step`` texts are looked up together."""
         out: list[np.ndarray] = []
-        for start in range(0, len(texts), 64):
-            split = [text.split() for text in texts[start : start + 64]]
-            if len(self.known) > CACHED_WORDS:
+        for start in range(0, len(texts), step):
+            split = [text.split() for text in texts[start : start + step]]
+            if len(self.known) > self.cached:
                 self.known.clear()
             self.learn({word for words in split for word in words if word not in self.known})
             find = self.known.__getitem__
