@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Sequence
 
@@ -107,3 +108,21 @@ class WordIds:
             find = self.known.__getitem__
             out += [np.frombuffer(b"".join(map(find, words)), dtype=np.uint16) for words in split]
         return out
+
+    def word_ids(self, words: Sequence[bytes], step: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after another, and how many each word has."""
+        found: list[bytes] = []
+        for start in range(0, len(words), step):
+            part = words[start : start + step]
+            if len(self.known) > self.cached:
+                self.known.clear()
+            self.learn({word for word in part if word not in self.known})
+            found += map(self.known.__getitem__, part)
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 2
+        return np.frombuffer(b"".join(found), dtype=np.uint16), lengths
+
+
+@functools.cache
+def shared_ids(vocabulary: str, cached: int) -> WordIds:
+    """One for all tasks of a process, which so find the words that were looked up before."""
+    return WordIds(vocabulary, cached)
