@@ -109,15 +109,19 @@ class WordIds:
             out += [np.frombuffer(b"".join(map(find, words)), dtype=np.uint16) for words in split]
         return out
 
-    def word_ids(self, words: Sequence[bytes], step: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words one after another, and how many each word has."""
+    def word_ids(self, words: Sequence[bytes], kept: int, step: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words one after another, and how many each word has; only the first ``kept`` stay in the cache."""
         found: list[bytes] = []
         for start in range(0, len(words), step):
             part = words[start : start + step]
             if len(self.known) > self.cached:
                 self.known.clear()
-            self.learn({word for word in part if word not in self.known})
+            new = {word for word in part if word not in self.known}
+            self.learn(new)
             found += map(self.known.__getitem__, part)
+            if start >= kept:
+                for word in new:
+                    del self.known[word]
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 2
         return np.frombuffer(b"".join(found), dtype=np.uint16), lengths
 

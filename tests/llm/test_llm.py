@@ -318,6 +318,41 @@ def test_attention_gradients_and_windows():
         assert abs((up - down) / 2e-4 - g[name][at]) < 1e-3 * max(1, abs(g[name][at]))
 
 
+def test_attention_scores_are_probabilities_of_whole_documents():
+    r = np.random.default_rng(2)
+    docs = [r.integers(0, 3000, n) for n in (0, 1, 31, 32, 33, 200)]
+    line, _ = attention.lines(np.concatenate(docs), np.array([len(d) for d in docs]))
+    counts = np.bincount(line, minlength=attention.IDS)
+    lexicon = attention.Lexicon(counts, r.random(attention.IDS) < 0.5)
+    pairs = np.bincount(lexicon.pairs(line[:-1], line[1:]), minlength=attention.ROWS * attention.FOLLOWERS)
+    followers = attention.Followers(lexicon, counts, pairs)
+    for row in (0, 7, 2000):
+        shares = np.exp(followers.logs(np.full(attention.IDS, row), np.arange(attention.IDS)))
+        assert np.allclose(np.bincount(lexicon.classes, weights=shares, minlength=attention.CLASSES), 1, atol=1e-3)
+    w = {k: (r.normal(size=s) * 0.3).astype(np.float32) for k, s in attention.SHAPES.items()}
+    got = attention.Scorer(w, lexicon, followers).documents(np.concatenate(docs), np.array([len(d) for d in docs]), batch=3)
+    want = np.zeros(len(docs))
+    for inputs, targets, owner in zip(*attention.windows(docs), strict=True):
+        rows = lexicon.rows[inputs[None]]
+        logits = (attention._attend(w, rows)[-1] @ w["c"] + w["b"] + w["g"][rows])[0].astype(float)
+        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+        for at in np.flatnonzero(targets >= 0):
+            goal = targets[at : at + 1]
+            want[owner] += logits[at, lexicon.classes[goal[0]]] + followers.logs(rows[0, at : at + 1], goal)[0]
+    assert np.allclose(got, want / math.log(10), rtol=1e-4)
+
+
+def test_block_words_round_trip():
+    texts = [b"", b" \t", "One, two; one: Zw\u00f6lf don't <|x|> 3.5".encode(), b"x" * 5000 + b" one", b"two two"]
+    tokenizer = WordIds(default_vocabulary(), 3)
+    words, known = lm.BlockWords.read(tokenizer, texts)
+    again = lm.BlockWords.load(*lm.unpacked(lm.packed(words.arrays()), 4))
+    want = [WordIds(default_vocabulary()).ids([x])[0].tolist() for x in texts]
+    assert len(known) == len({w for x in texts for w in x.lower().split()})
+    assert [again.ids(d).tolist() for d in again.documents()] == want
+    assert again.sizes().tolist() == [len(x) for x in want]
+
+
 def test_lm_scores(odd, none):
     got = lm.lm_scores(odd, block_bytes=50_000).collect()
     rows = [(r.doc_id, (r.text or "").encode().lower().split() + [None]) for r in odd.collect()]
