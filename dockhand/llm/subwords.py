@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
+import gc
 import os
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 
 # A word is looked up without the punctuation after it, which this tokenizer
 # always cuts off. Quotes and angle brackets may join with letters or form
@@ -130,3 +134,12 @@ class WordIds:
 def shared_ids(vocabulary: str, cached: int) -> WordIds:
     """One for all tasks of a process, which so find the words that were looked up before."""
     return WordIds(vocabulary, cached)
+
+
+def forget() -> None:
+    """Give back the memory of shared tokenizers and their caches, in stages that have no use for them."""
+    shared_ids.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library can return freed pages
+        ctypes.CDLL(None).malloc_trim(0)
