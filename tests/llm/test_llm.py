@@ -363,3 +363,21 @@ def test_lm_scores(odd, none):
     assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got) == want
     assert all(r.score < 0 and math.isfinite(r.score) for r in got)
     assert lm.lm_scores(none).count() == 0
+
+
+def test_attention_learns_from_all_training_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(attention, "counted", lambda w, pairs: (seen.append(pairs), w)[1])
+    texts = [(i, words(30 + i % 50, i)) for i in range(3_400)]
+    lm.lm_scores(spark.createDataFrame(texts, "doc_id long, text string"), block_bytes=200_000)
+    tokenizer, training = WordIds(default_vocabulary()), [t for i, t in texts if zlib.crc32(str(i).encode()) % 5 != 1]
+    ids = tokenizer.ids([t.encode() for t in training])
+    assert seen[0].sum() == sum(len(x) + 1 for x in ids)  # every pair, the end included
+
+
+def test_training_takes_every_window(monkeypatch):
+    r, taken = np.random.default_rng(4), []
+    monkeypatch.setattr(attention, "gradients", lambda w, rows, c, s: (taken.extend(rows[:, 0].tolist()), (0.0, {k: np.zeros_like(v) for k, v in w.items()}))[1])
+    rows = np.repeat(np.arange(1_000)[:, None], attention.CONTEXT, axis=1)
+    attention.train(attention.initial(), rows, r.integers(0, 64, rows.shape), np.ones(rows.shape, bool), 0.001)
+    assert sorted(taken) == list(range(1_000))
