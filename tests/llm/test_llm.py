@@ -381,3 +381,8 @@ def test_training_takes_every_window(monkeypatch):
     rows = np.repeat(np.arange(1_000)[:, None], attention.CONTEXT, axis=1)
     attention.train(attention.initial(), rows, r.integers(0, 64, rows.shape), np.ones(rows.shape, bool), 0.001)
     assert sorted(taken) == list(range(1_000))
+
+
+def test_later_windows_see_nine_ids_of_context():
+    inputs, targets, _ = attention.windows([np.arange(200)])
+    assert len(inputs) > 1 and (np.argmax(targets[1:] >= 0, axis=1) >= 8).all()
