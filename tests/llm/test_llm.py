@@ -386,3 +386,35 @@ def test_training_takes_every_window(monkeypatch):
 def test_later_windows_see_nine_ids_of_context():
     inputs, targets, _ = attention.windows([np.arange(200)])
     assert len(inputs) > 1 and (np.argmax(targets[1:] >= 0, axis=1) >= 8).all()
+
+
+def test_lm_counts_pairs_of_all_ids(spark, monkeypatch):
+    monkeypatch.setattr(lm, "RATES", ())
+    letters = ["".join(random.Random(i).choices("aeioubcdfglmnrst", k=9)) for i in range(4_000)]
+    texts = [(i, " ".join(letters[20 * i : 20 * i + 20] * 2)) for i in range(200)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in lm.lm_scores(df, block_bytes=4_000).collect()}
+    tokenizer = WordIds(default_vocabulary())
+    documents = tokenizer.ids([t.encode() for _, t in texts])
+    train = [zlib.crc32(str(i).encode()) % 5 != 1 for i, _ in texts]
+    line, _ = attention.lines(np.concatenate([d for d, t in zip(documents, train) if t]), np.array([len(d) for d, t in zip(documents, train) if t]))
+    goal = np.flatnonzero(line != attention.START_ID)
+    counts = np.bincount(line[goal], minlength=attention.IDS)
+    lexicon = attention.Lexicon(counts, tokenizer.ends)
+    rows, ids = lexicon.rows[line[goal - 1]], line[goal]
+    assert (lexicon.ranks[ids] >= attention.FOLLOWERS).sum() > 500
+    often = collections.Counter(zip(rows.tolist(), ids.tolist()))
+    classes = np.bincount(rows * attention.CLASSES + lexicon.classes[ids], minlength=attention.ROWS * attention.CLASSES).reshape(attention.ROWS, -1)
+    w = attention.counted(attention.initial(), classes)
+    prior = counts + 0.5
+    prior = attention.SMOOTHING * prior / np.bincount(lexicon.classes, weights=prior, minlength=attention.CLASSES)[lexicon.classes]
+    for (i, _), ids in zip(texts[:40], documents):
+        want = 0.0
+        for inputs, targets in zip(*attention.windows([ids])[:2]):
+            rows = lexicon.rows[inputs]
+            logits = (attention._attend(w, rows[None])[-1] @ w["c"] + w["b"] + w["g"][rows])[0].astype(float)
+            logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+            for at in np.flatnonzero(targets >= 0):
+                goal, c = targets[at], lexicon.classes[targets[at]]
+                want += logits[at, c] + math.log((prior[goal] + often[rows[at], goal]) / (attention.SMOOTHING + classes[rows[at], c]))
+        assert abs(got[i] - want / math.log(10)) < 1e-3 * abs(want)
