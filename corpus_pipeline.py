@@ -13,6 +13,9 @@ from dockhand.llm import exact_dedup, mixing, near_dedup, packing, quality
 from dockhand.llm.common import DOCUMENT, fold, table, written
 
 
+SHINGLE_WORDS = 5  # of the stage of near copies; op3 has its own number
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier of the labelled rows accepts."""
     labels = table(spark, sf_dir, "labels")
@@ -28,7 +31,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest doc_id."""
-    return near_dedup.drop_near_copies(docs).select(*DOCUMENT)
+    return near_dedup.drop_near_copies(docs, SHINGLE_WORDS).select(*DOCUMENT)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,6 +23,7 @@ kept; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from dockhand.llm.common import arrow, batches, cut, text_of, written
 from dockhand.llm.components import components
-from dockhand.llm.shingles import common, groups, mix, shingle_sets
+from dockhand.llm.shingles import WORDS_IN_SHINGLE, common, groups, mix, shingle_sets
 
 BANDS, ROWS = 40, 5
 REGISTERS = BANDS * ROWS
@@ -111,11 +112,11 @@ def unlikely(greater: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.
 SKETCHES = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("registers", pa.binary())])
 
 
-def _sketch(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketch(source: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in source:
         ids, texts, rows = batch.column("doc_id").to_pylist(), [t.as_buffer().to_pybytes() for t in batch.column("text")], []
         for run in groups(texts):
-            sets = shingle_sets([texts[i] for i in run])
+            sets = shingle_sets([texts[i] for i in run], k)
             some = [s for s in sets if len(s)]
             sketches = iter(registers(some) if some else ())
             for i, s in zip(run, sets, strict=True):
@@ -126,10 +127,10 @@ def _sketch(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches(rows, SKETCHES)
 
 
-def sketch(docs: DataFrame) -> DataFrame:
+def sketch(docs: DataFrame, k: int = WORDS_IN_SHINGLE) -> DataFrame:
     """Per document: doc_id, n (size of its set), digest of the set, registers."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").cast("binary").alias("text"))
-    return rows.mapInArrow(_sketch, "doc_id long, n long, digest binary, registers binary")
+    return rows.mapInArrow(functools.partial(_sketch, k=k), "doc_id long, n long, digest binary, registers binary")
 
 
 BAND_ROWS = arrow("key long,rep long,n long")
@@ -167,7 +168,8 @@ def _estimate(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Place:
     """The block of members that ask in one place, with their sets; the others come by one at a time."""
 
-    def __init__(self):
+    def __init__(self, k: int):
+        self.k = k
         self.rows: list[tuple[int, int, int, bytes, bytes]] = []
         self.ready = False
 
@@ -175,7 +177,7 @@ class _Place:
         self.ready = True
         self.reps, self.comps, self.n = (np.array([r[i] for r in self.rows], dtype=np.int64) for i in range(3))
         self.sketches = np.frombuffer(b"".join(r[3] for r in self.rows), dtype=np.uint16).reshape(len(self.rows), REGISTERS)
-        self.sets = shingle_sets([r[4] for r in self.rows])
+        self.sets = shingle_sets([r[4] for r in self.rows], self.k)
         self.found: set[tuple[int, int]] = set()
 
     def meet(self, main: bool, rep: int, comp: int, n: int, sketch: np.ndarray, text: bytes) -> Iterator[tuple[int, int]]:
@@ -189,7 +191,7 @@ class _Place:
             return
         ahead, behind = (self.sketches[at] > sketch).sum(axis=1), (self.sketches[at] < sketch).sum(axis=1)
         at = at[~unlikely(ahead, behind, self.n[at].astype(np.float64), np.full(len(at), float(n)))]
-        own = shingle_sets([text])[0] if len(at) else None
+        own = shingle_sets([text], self.k)[0] if len(at) else None
         for i in at.tolist():
             link = (int(self.comps[i]), comp)
             if link in self.found:
@@ -200,17 +202,17 @@ class _Place:
                 yield int(self.reps[i]), rep
 
 
-def _meet(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _meet(source: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """Links between different components in the places (cell, block, chunk), which come in order, askers first."""
     names = ("cell", "block", "chunk", "asks", "main", "rep", "component", "n", "registers", "text")
-    place, here = None, _Place()
+    place, here = None, _Place(k)
     for batch in source:
         links = []
         for cell, block, chunk, asks, main, rep, comp, n, registers, text in zip(
             *(batch.column(c).to_pylist() for c in names), strict=True
         ):
             if (cell, block, chunk) != place:
-                place, here = (cell, block, chunk), _Place()
+                place, here = (cell, block, chunk), _Place(k)
             if asks:
                 here.rows.append((rep, comp, n, registers, text))
             elif here.rows:
@@ -220,12 +222,12 @@ def _meet(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches(links, PAIRS)
 
 
-def _confirm(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirm(source: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """Links among the pairs of a and its partners: the text of a comes first, then those of its partners."""
     a, own = None, None
     for batch in source:
         texts = [t.as_buffer().to_pybytes() for t in batch.column("text")]
-        sets, rows = shingle_sets(texts), []
+        sets, rows = shingle_sets(texts, k), []
         for left, right, s in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), sets, strict=True):
             if right is None:
                 a, own = left, s
@@ -238,7 +240,7 @@ def _confirm(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches(rows, PAIRS)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, k: int = WORDS_IN_SHINGLE) -> DataFrame:
     """The pairs whose full sets reach the threshold; a much-paired text is met in chunks of partners."""
     chunks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("chunks"))
     pairs = pairs.join(chunks, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk"))
@@ -247,10 +249,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     heads = chunks.select("a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
     heads = heads.join(texts.withColumnRenamed("doc_id", "a"), "a").select("a", "chunk", F.lit(None).cast("long").alias("b"), "text")
     dealt = heads.unionByName(partners).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
-    return dealt.select("a", "b", "text").mapInArrow(_confirm, "a long, b long")
+    return dealt.select("a", "b", "text").mapInArrow(functools.partial(_confirm, k=k), "a long, b long")
 
 
-def _links_of_rest(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+def _links_of_rest(members: DataFrame, labels: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     """Links between different components of one bucket.
 
     Buckets with the same largest component form a cell. In a cell the members outside that component meet
@@ -276,7 +278,7 @@ def _links_of_rest(members: DataFrame, labels: DataFrame, texts: DataFrame) -> D
     asking = rows.filter(~main).select("cell", block.alias("block"), every("chunks").alias("chunk"), F.lit(True).alias("asks"), main.alias("main"), *keep)
     asked = rows.select("cell", every("blocks").alias("block"), chunk.alias("chunk"), F.lit(False).alias("asks"), main.alias("main"), *keep)
     dealt = asking.unionByName(asked).repartition("cell", "block", "chunk")
-    return dealt.sortWithinPartitions("cell", "block", "chunk", F.desc("asks")).mapInArrow(_meet, "a long, b long")
+    return dealt.sortWithinPartitions("cell", "block", "chunk", F.desc("asks")).mapInArrow(functools.partial(_meet, k=k), "a long, b long")
 
 
 def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -290,9 +292,9 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return moved.unionByName(over.join(labels.select("id"), "id", "left_anti"))
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept."""
-    sketches = written(sketch(docs))
+def near_groups(docs: DataFrame, k: int = WORDS_IN_SHINGLE) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, kept; shingles have ``k`` words."""
+    sketches = written(sketch(docs, k))
     usable = sketches.filter("n > 0 AND doc_id IS NOT NULL")
     least = usable.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     reps = usable.withColumnRenamed("doc_id", "rep").join(least, ["digest", "rep"], "left_semi")
@@ -311,8 +313,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").cast("binary").alias("text"))
     texts = texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     texts = written(texts.join(reps.withColumnRenamed("rep", "doc_id"), "doc_id"))
-    labels = cut(components(confirmed(likely, texts)))
-    labels = _relabelled(labels, _links_of_rest(members.select("key", "rep"), labels, texts))
+    labels = cut(components(confirmed(likely, texts, k)))
+    labels = _relabelled(labels, _links_of_rest(members.select("key", "rep"), labels, texts, k))
     classes = least.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     classes = classes.select("digest", F.coalesce("component", "rep").alias("component"))
     rows = sketches.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(classes, "digest", "left")
@@ -322,7 +324,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
+def drop_near_copies(docs: DataFrame, k: int = WORDS_IN_SHINGLE) -> DataFrame:
     """The rows of ``docs`` that stand for their component, with all columns."""
-    dropped = near_groups(docs).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    dropped = near_groups(docs, k).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)

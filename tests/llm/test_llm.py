@@ -418,3 +418,23 @@ def test_lm_counts_pairs_of_all_ids(spark, monkeypatch):
                 goal, c = targets[at], lexicon.classes[targets[at]]
                 want += logits[at, c] + math.log((prior[goal] + often[rows[at], goal]) / (attention.SMOOTHING + classes[rows[at], c]))
         assert abs(got[i] - want / math.log(10)) < 1e-3 * abs(want)
+
+
+def test_pipeline_near_copies_are_of_five_words(spark):
+    import corpus_pipeline
+
+    def alike(a, b, k):
+        a, b = ({tuple(t.split()[i : i + k]) for i in range(len(t.split()) - k + 1)} for t in (a, b))
+        return len(a & b) / len(a | b)
+
+    texts, want = {}, set()
+    for i in range(40):
+        base = " ".join(f"w{i}x{j}" for j in range(400))
+        places = random.Random(i).sample(range(10, 390, 6), 8 if i % 2 else 11)  # scattered: the 11 are alike on four words only
+        changed = " ".join(f"new{j}" if j in places else w for j, w in enumerate(base.split()))
+        assert alike(base, changed, 4) >= 0.8 and (alike(base, changed, 5) >= 0.8) == bool(i % 2)
+        texts |= {2 * i: base, 2 * i + 1: changed}
+        want |= {2 * i} if i % 2 else {2 * i, 2 * i + 1}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()} == want
+    assert near_dedup.drop_near_copies(docs).count() == 40
