@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockhand.llm import chat, exact_dedup, lm, mixing, near_dedup, packing, pages, quality, secrets, topk
+from dockhand.llm import bpe, chat, exact_dedup, lm, mixing, near_dedup, packing, pages, quality, secrets, topk
 from dockhand.llm.common import table
 from dockhand.llm.subwords import default_vocabulary
 
@@ -64,6 +64,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -77,6 +81,7 @@ QUERIES = {
         op8_source_mixing,
         op9_lm_scoring,
         op10_packing,
+        op11_bpe_coding,
     )
 }
 
