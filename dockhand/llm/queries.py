@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockhand.llm import bpe, chat, exact_dedup, lm, mixing, near_dedup, packing, pages, quality, secrets, topk
+from dockhand.llm import bpe, centroids, chat, exact_dedup, lm, mixing, near_dedup, packing, pages, quality, secrets, topk
 from dockhand.llm.common import table
 from dockhand.llm.subwords import default_vocabulary
 
@@ -68,6 +68,10 @@ def op11_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters_of(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -82,6 +86,7 @@ QUERIES = {
         op9_lm_scoring,
         op10_packing,
         op11_bpe_coding,
+        op12_centroid_clustering,
     )
 }
 
@@ -123,4 +128,5 @@ ORACLE_SQL = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    "op12_centroid_clustering": centroids.twin_sql(),
 }

@@ -33,11 +33,10 @@ def digests(library, text):
 
 
 def test_pieces_of_every_character(library):
-    vocabulary = bpe.vocabulary_of(None)
-    for c in range(0x110000):
-        if not 0xD800 <= c < 0xE000:
-            text = f"a{chr(c)}a {chr(c)}1{chr(c)}!{chr(c)}  "
-            assert vocabulary.pieces(text) == [text[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(text)], hex(c)
+    settled = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and not bpe.unsettled().match(chr(c))]
+    for at in range(0, len(settled), 500):
+        text = "".join(f"a{c}a {c}1{c}!{c}  " for c in settled[at : at + 500])
+        assert bpe.PIECES.findall(text) == [text[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(text)], at
 
 
 def test_odd_texts_equal_the_library(library):
