@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockhand.llm import bpe, centroids, chat, exact_dedup, lm, mixing, near_dedup, packing, pages, quality, secrets, topk
+from dockhand.llm import bpe, centroids, chat, exact_dedup, lm, mixing, near_dedup, packing, pages, prefix_trie, quality, secrets, topk
 from dockhand.llm.common import table
 from dockhand.llm.subwords import default_vocabulary
 
@@ -72,6 +72,10 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clusters_of(table(spark, sf_dir, "embeddings"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -87,6 +91,7 @@ QUERIES = {
         op10_packing,
         op11_bpe_coding,
         op12_centroid_clustering,
+        op13_prefix_trie,
     )
 }
 
@@ -129,4 +134,5 @@ ORACLE_SQL = {
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     """,
     "op12_centroid_clustering": centroids.twin_sql(),
+    "op13_prefix_trie": prefix_trie.twin_sql(),
 }
