@@ -12,7 +12,7 @@ had. Full windows are emitted as they fill; the rest of a shard is cut into
 sequences whose lengths are powers of two, so there is no padding.
 
 Defined results: a null text has no ids but its end; documents of a null
-source form one queue; rows that repeat a ``doc_id`` are packed each; an empty
+source form one queue; rows that repeat a ``doc_id`` are packed each, in the order of their ids; an empty
 table gives no rows; other columns are not read.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockhand.llm.common import arrow, batches, cut, text_of, written
-from dockhand.llm.subwords import WordIds, default_vocabulary
+from dockhand.llm.subwords import CACHED_WORDS, default_vocabulary, shared_ids
 
 WINDOW = 2048
 END_ID = 1
@@ -40,7 +40,7 @@ PIECES = arrow("doc_id long,start long,length long,ids_crc32 long,doc_tokens lon
 
 def _tokenise(vocabulary: str):
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, end = WordIds(vocabulary), np.array([END_ID], dtype=np.uint16).tobytes()
+        tokenizer, end = shared_ids(vocabulary, CACHED_WORDS), np.array([END_ID], dtype=np.uint16).tobytes()
         for batch in source:
             texts = [t.as_buffer().to_pybytes() for t in batch.column("text")]
             ids = [x.tobytes() + end for x in tokenizer.ids(texts)]
@@ -148,7 +148,7 @@ def tokenised(docs: DataFrame, vocabulary: str, shard_bytes: int = SHARD_BYTES)
     )
     total = rows.agg(F.sum(F.octet_length("text").cast("long")), F.count(F.lit(1))).first()
     n = max(1, -(-((total[0] or 0) + 64 * total[1]) // shard_bytes))
-    shard = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(n)).cast("int").alias("shard")
+    shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("shard")
     return rows.select("doc_id", "source", shard, F.col("text").cast("binary").alias("text")).mapInArrow(
         _tokenise(vocabulary), "doc_id long, source string, shard int, n long, ids binary"
     )
@@ -189,7 +189,7 @@ def pack(
     queued = tokens.select(
         "shard", F.lit(False).alias("head"), "source", "doc_id", "ids", empty.cast("double").alias("share"), empty.cast("double").alias("deficit")
     )
-    dealt = heads.unionByName(queued).repartition("shard").sortWithinPartitions("shard", F.desc("head"), "source", "doc_id")
+    dealt = heads.unionByName(queued).repartition("shard").sortWithinPartitions("shard", F.desc("head"), "source", "doc_id", "ids")
     return dealt.mapInArrow(
         _pack(window),
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
