@@ -64,19 +64,13 @@ def byte_characters() -> list[str]:
 
 
 @functools.cache
-def unsettled() -> regex.Pattern:
-    """Characters that are letters or numbers by one Unicode version only."""
+def unsettled() -> re.Pattern:
+    """Characters that are letters or numbers by one Unicode version only, and all beyond U+FFFF."""
     import unicodedata
 
-    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
-    new = [ord(c) for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c)[0] not in "LN"]
-    runs: list[list[int]] = []
-    for c in new:
-        if runs and runs[-1][1] == c - 1:
-            runs[-1][1] = c
-        else:
-            runs.append([c, c])
-    return regex.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs) + "]") if runs else regex.compile(r"(?!)")
+    every = "".join(chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000)
+    new = [c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c)[0] not in "LN"]
+    return re.compile("[" + "".join(map(re.escape, new)) + "\U00010000-\U0010ffff]")
 
 
 class Vocabulary(dict):
@@ -120,29 +114,34 @@ class Vocabulary(dict):
         n = len(piece)
         held = list if n <= CACHED_LENGTH else COMPACT
         symbols = held(map(self.byte_ids.__getitem__, piece))
+        wanted = held([GONE]) * n  # the rank that the pair at a place waits with
         queue = []
         for at in range(n - 1):
             rank = ranks(symbols[at] << PAIR | symbols[at + 1])
             if rank is not None:
                 queue.append(rank << PLACE | at)
+                wanted[at] = rank
         if not queue:
             return array("i", symbols)
         heapq.heapify(queue)
         after, before = held(range(1, n + 1)), held(range(-1, n - 1))
         while queue:
             rank, at = (top := heapq.heappop(queue)) >> PLACE, top & LOW
-            right = after[at]
-            if right >= n or ranks(symbols[at] << PAIR | symbols[right]) != rank:
+            if wanted[at] != rank:
                 continue  # stale: a symbol is gone, or the pair has changed since
+            right = after[at]
             symbols[at], symbols[right] = (made := made_by[rank]), GONE
-            after[at], after[right] = (follower := after[right]), n
+            after[at] = follower = after[right]
+            wanted[at] = wanted[right] = GONE
             if follower < n:
                 before[follower] = at
                 rank = ranks(made << PAIR | symbols[follower])
                 if rank is not None:
                     heapq.heappush(queue, rank << PLACE | at)
+                    wanted[at] = rank
             if (left := before[at]) >= 0:
                 rank = ranks(symbols[left] << PAIR | made)
+                wanted[left] = GONE if rank is None else rank
                 if rank is not None:
                     heapq.heappush(queue, rank << PLACE | left)
         return array("i", (s for s in symbols if s != GONE))
