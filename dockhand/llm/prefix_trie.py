@@ -275,20 +275,26 @@ def tour_runs(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
 def ranked(runs: DataFrame) -> DataFrame:
     """(conv_id, code, to_end): arcs from the start of each run to the end of the list, by pointer jumping.
 
-    Runs that have reached the end have no pointer and are not joined. Runs
-    a job for every doubling of the list.
+    A run that has reached the end looks itself up and stays as it is, so a
+    run is looked up by itself and by one other at most. Runs a job for every
+    doubling of the list.
     """
     state = cut(runs.withColumnRenamed("weight", "to_end"))
-    while not (going := state.filter("next_conv IS NOT NULL")).isEmpty():
+    for _ in range(max(state.count() - 1, 0).bit_length()):
+        ended = F.col("next_conv").isNull()
+        going = state.withColumns(
+            {"ahead_conv": F.coalesce("next_conv", "conv_id"), "ahead_code": F.when(ended, F.col("code")).otherwise(F.col("next_code"))}
+        )
         ahead = state.select(
-            F.col("conv_id").alias("next_conv"), F.col("code").alias("next_code"),
+            F.col("conv_id").alias("ahead_conv"), F.col("code").alias("ahead_code"),
             F.col("next_conv").alias("then_conv"), F.col("next_code").alias("then_code"), F.col("to_end").alias("rest"),
         )
-        jumped = going.join(ahead, ["next_conv", "next_code"]).select(
-            "conv_id", "code", F.col("then_conv").alias("next_conv"), F.col("then_code").alias("next_code"),
-            (F.col("to_end") + F.col("rest")).alias("to_end"),
+        state = cut(
+            going.join(ahead, ["ahead_conv", "ahead_code"]).select(
+                "conv_id", "code", F.col("then_conv").alias("next_conv"), F.col("then_code").alias("next_code"),
+                F.when(ended, F.col("to_end")).otherwise(F.col("to_end") + F.col("rest")).alias("to_end"),
+            )
         )
-        state = cut(state.filter("next_conv IS NULL").unionByName(jumped))
     return state.select("conv_id", "code", "to_end")
 
 
