@@ -314,6 +314,14 @@ ORACLE_SQL: dict[str, str] = {
                 WHERE term IN {_SEARCH} GROUP BY term)
         SELECT doc_id, round(sum(tf * idf), 6) AS score FROM index JOIN idf USING (term)
         GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 20""",
+    "phrase_search": r"""
+        WITH listed AS (SELECT doc_id, regexp_extract_all(lower(text), '\p{L}+') AS w FROM documents),
+        starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM listed)
+        SELECT doc_id, count(*) AS n FROM starts WHERE w[i] = 'and' AND w[i + 1] = 'attion' AND w[i + 2] = 'to' GROUP BY doc_id""",
+    "index_blocks": f"""{_needs("words index")}
+        SELECT term, doc_id // 256 AS block, CAST(count(*) AS INTEGER) AS n, CAST(max(tf) AS INTEGER) AS max_tf,
+               CAST(min(doc_id % 256) AS INTEGER) AS first_offset, CAST(sum(tf) AS INTEGER) AS n_places
+        FROM index GROUP BY term, block""",
     "facet_counts": f"""{_needs("words")}
         SELECT lang, source, count(*) AS n_docs FROM documents
         WHERE doc_id IN (SELECT doc_id FROM words WHERE term IN {_SEARCH}) GROUP BY lang, source""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from dockhand.functions import crypto, markup, masking, paths, text, values
 from dockhand.operators import (
+    block_index,
     bom,
     dedup,
     enrich,
@@ -23,6 +25,7 @@ from dockhand.operators import (
 )
 from dockhand.plans import bindings as b
 from dockhand.plans.documents import process_documents as document_flow
+from dockhand.session import ensure_checkpoint_dir
 from dockhand.sources import landing, logs, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,8 +33,12 @@ QUERIES: dict[str, Query] = {}
 
 TEST_KEY = "0123456789abcdef"  # test-only key; a job takes its key from its own configuration
 SEARCH_TERMS = ["nation", "the", "und", "que", "tion"]
+PHRASE = ["and", "attion", "to"]
+INDEX_WIDTH = 256  # keys of a block; the test tables are small
 PRODUCT_ID = 201
 
+STORED_INDEXES: dict[tuple[str, str], str] = {}
+
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
@@ -110,17 +117,35 @@ def term_stats(spark, folder):
     return search.term_stats(search.postings(b.documents(spark, folder)))
 
 
+def _stored_index(spark, folder) -> block_index.BlockIndex:
+    """The block index of the documents, stored once per session and folder in the shared folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in STORED_INDEXES:
+        STORED_INDEXES[key] = f"{ensure_checkpoint_dir(spark)}/dockhand-index-{uuid.uuid4().hex}"
+        block_index.write_block_index(b.documents(spark, folder), STORED_INDEXES[key], width=INDEX_WIDTH)
+    return block_index.BlockIndex(spark, STORED_INDEXES[key])
+
+
 @query
 def search_terms(spark, folder):
-    docs = b.documents(spark, folder)
-    n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    return search.search(search.postings(docs, terms=SEARCH_TERMS), n_docs, SEARCH_TERMS, k=20)
+    return _stored_index(spark, folder).search(SEARCH_TERMS, k=20)
+
+
+@query
+def phrase_search(spark, folder):
+    return _stored_index(spark, folder).phrase(PHRASE)
+
+
+@query
+def index_blocks(spark, folder):
+    return _stored_index(spark, folder).blocks.select(
+        "term", "block", "n", "max_tf", F.col("offsets")[0].alias("first_offset"), F.size(F.flatten("positions")).alias("n_places")
+    )
 
 
 @query
 def facet_counts(spark, folder):
-    docs = b.documents(spark, folder)
-    return search.facet_counts(search.postings(docs, terms=SEARCH_TERMS), docs, SEARCH_TERMS, ["lang", "source"])
+    return _stored_index(spark, folder).facets(b.table(spark, folder, "documents"), SEARCH_TERMS, ["lang", "source"])
 
 
 @query
