@@ -14,6 +14,7 @@ from dockhand.operators import (
     bom,
     dedup,
     enrich,
+    history,
     intake,
     language,
     manifests,
@@ -21,12 +22,14 @@ from dockhand.operators import (
     numbering,
     products,
     quality,
+    quantity_view,
     search,
 )
 from dockhand.plans import bindings as b
 from dockhand.plans.documents import process_documents as document_flow
 from dockhand.session import ensure_checkpoint_dir
 from dockhand.sources import landing, logs, tables
+from dockhand.sources.versioned import VersionedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -630,6 +633,47 @@ def conditional_update(spark, folder):
     return products.update_where(b.products(spark, folder), F.col("ProductName") == "1-URGENT", {"Configuration": new})
 
 
+def _versioned(spark, *key: str) -> VersionedTable:
+    """An empty place for a versioned table in the shared folder."""
+    return VersionedTable(spark, f"{ensure_checkpoint_dir(spark)}/dockhand-table-{uuid.uuid4().hex}", list(key))
+
+
+@query
+def merge_by_key(spark, folder):
+    """The old parts, with the new ones merged in and every thirteenth deleted."""
+    stored = _versioned(spark, "PartID")
+    old, new = (b.parts_snapshot(spark, folder, year) for year in (1998, 1999))
+    stored.create(old)
+    gone = F.col("PartID") % 13 == 0
+    left = old.join(new.select("PartID"), "PartID", "left_anti").filter(gone)
+    changes = new.unionByName(left).withColumn("gone", gone)
+    stored.upsert(changes, batch=0, deleted="gone")
+    return stored.read()
+
+
+@query
+def stored_quantity(spark, folder):
+    """Quantities kept by signed changes: every seventh product is taken away, every fifth part counts one more; the batch comes twice."""
+    bom, parts = b.bom(spark, folder), b.parts(spark, folder)
+    more = F.when(F.col("PartID") % 5 == 0, F.col("Quantity") + 1).otherwise(F.col("Quantity"))
+    later = bom.filter(F.col("ProductID") % 7 != 0).withColumn("Quantity", more)
+    stored = quantity_view.create_view(bom, parts, _versioned(spark).folder)
+    for _ in range(2):
+        quantity_view.apply_changes(stored, quantity_view.signed_changes(bom, later), parts, batch=0)
+    return stored.read()
+
+
+@query
+def status_history(spark, folder):
+    """Audit of every file's status from states that come out of order and twice; a failed file counts as deleted."""
+    log = b.monitor_events(spark, folder)
+    states = log.select("FileID", F.col("event_id").alias("Seq"), (F.col("Status") == "Failed").alias("Deleted"), "Status")
+    stored = history.create(_versioned(spark, "FileID", "Seq"), states.limit(0))
+    for batch, part in enumerate([1, 0, 1, 2]):
+        history.apply_states(stored, states.filter(F.col("Seq") % 3 == part), batch)
+    return history.changes(stored.read())
+
+
 @query
 def add_column(spark, folder):
     return products.add_column(b.products(spark, folder).drop("Configuration"), "Configuration", "string")
