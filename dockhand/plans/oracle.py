@@ -555,6 +555,17 @@ ORACLE_SQL: dict[str, str] = {
                       WHEN was <> Status THEN 'UPDATE' END AS Action FROM pairs)
         SELECT FileID, Seq AS ValidFrom, lead(Seq) OVER (PARTITION BY FileID ORDER BY Seq) AS ValidTo, Status, Action
         FROM acted WHERE Action IS NOT NULL""",
+    "part_levels": f"""WITH RECURSIVE part_components AS ({VIEWS["part_components"]}),
+        down AS (SELECT DISTINCT ParentPartID AS PartID, CAST(0 AS BIGINT) AS lvl FROM part_components
+                 WHERE ParentPartID NOT IN (SELECT ChildPartID FROM part_components)
+                 UNION SELECT ChildPartID, lvl + 1 FROM down JOIN part_components ON ParentPartID = PartID)
+        SELECT PartID, max(lvl) AS Level FROM down GROUP BY PartID""",
+    "bom_cycle_parts": f"""WITH RECURSIVE part_components AS ({VIEWS["part_components"]}),
+        edges AS (SELECT ParentPartID AS a, ChildPartID AS b FROM part_components UNION
+                  SELECT ChildPartID, ChildPartID // 25 FROM part_components WHERE ChildPartID % 97 = 0 AND ChildPartID >= 25),
+        reach AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON e.a = r.b),
+        members AS (SELECT x.a AS PartID, min(x.b) AS CycleID FROM reach x JOIN reach y ON y.a = x.b AND y.b = x.a GROUP BY x.a)
+        SELECT CycleID, PartID, count(*) OVER (PARTITION BY CycleID) AS Parts FROM members""",
     "add_column": f"""{_needs("products")}
         SELECT ProductID, ProductName, CAST(NULL AS VARCHAR) AS Configuration FROM products""",
 }

@@ -12,6 +12,7 @@ from dockhand.functions import crypto, markup, masking, paths, text, values
 from dockhand.operators import (
     block_index,
     bom,
+    bom_cycles,
     dedup,
     enrich,
     history,
@@ -399,6 +400,22 @@ def where_used(spark, folder):
     return bom.where_used(b.part_components(spark, folder))
 
 
+@query
+def part_levels(spark, folder):
+    return bom_cycles.part_levels(b.part_components(spark, folder))
+
+
+@query
+def bom_cycle_parts(spark, folder):
+    """Cycles of the part tree with an edge back from every 97th part to the part two levels above."""
+    tree = b.part_components(spark, folder).select("ParentPartID", "ChildPartID")
+    child = F.col("ChildPartID")
+    back = tree.filter((child % 97 == 0) & (child >= 25)).select(
+        child.alias("ParentPartID"), F.call_function("div", child, F.lit(25)).alias("ChildPartID")
+    )
+    return bom_cycles.bom_cycles(tree.unionByName(back))
+
+
 @query
 def link_docs_to_parts(spark, folder):
     return products.link_documents(
