@@ -160,8 +160,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def guess_spans(text: str, ranks: dict[str, float], least: float = MIN_COST) -> list[tuple[str, int, int]]:
     """Values in a credential context that take many guesses."""
-    if ":" not in text and "=" not in text and " is " not in text and " was " not in text:
-        return []
+    if ":" not in text and "=" not in text and " is " not in (lower := text.lower()) and " was " not in lower:
+        return []  # every context needs one of these, in either case
     spans = []
     for m in CONTEXT.finditer(text):
         value = m[1].rstrip(".!?)]}")
