@@ -31,7 +31,7 @@ BITS = 18
 ORDERS = (1, 2, 3, 4)
 SAMPLE = 5_000
 THRESHOLD = 0.3
-FOLDS, FEW = 5, 3_000
+FOLDS = 5
 SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 15
@@ -160,7 +160,7 @@ def fit(texts: list[bytes], labels: np.ndarray) -> Model:
         of_label = np.flatnonzero(labels == label)
         part[of_label] = np.arange(len(of_label)) % FOLDS
     margins, seen = np.zeros(len(rows)), np.zeros(len(rows), dtype=bool)
-    for fold_number in range(FOLDS if len(rows) <= FEW else 1):
+    for fold_number in range(FOLDS):
         inner, outer = np.flatnonzero(part != fold_number), np.flatnonzero(part == fold_number)
         if len({*labels[inner]}) < 2:
             continue
