@@ -24,7 +24,7 @@ import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockhand.llm.common import arrow, batches, text_of
@@ -240,6 +240,15 @@ def exact_groups(docs: DataFrame, budget: int = TRIE_BYTES) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, budget: int = TRIE_BYTES) -> DataFrame:
-    """The rows of ``docs`` that own their text, with all columns."""
-    kept = text_owners(docs, budget).select(F.col("keep_id").alias("doc_id"))
-    return docs.join(kept.dropDuplicates(), "doc_id", "left_semi").select(*docs.columns)
+    """One row of every text, with all columns: the row that owns it.
+
+    A text owned by an id is kept under that id, whatever else the id names; a text
+    without any id is kept too. Of rows with one id and text, the first by their other columns stays.
+    """
+    key = ["__bytes", "__digest"]
+    raw = normalised(docs).cast("binary")
+    rows = docs.withColumns({"__bytes": F.octet_length(raw).cast("long"), "__digest": F.sha2(raw, 256)})
+    owners = text_owners(docs, budget).select(F.col("n_bytes").alias("__bytes"), F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"))
+    owned = rows.join(owners, key).filter(F.col("doc_id").cast("long").eqNullSafe(F.col("__keep")))
+    order = Window.partitionBy(*key).orderBy(*(F.col(c).cast("string") for c in ("lang", "source", "n_chars", "text") if c in docs.columns))
+    return owned.withColumn("__place", F.row_number().over(order)).filter("__place = 1").select(*docs.columns)

@@ -154,11 +154,12 @@ def taken_words(sizes: np.ndarray, times: np.ndarray, block: int) -> np.ndarray:
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size in words."""
+    """doc_id, source, size in words, hash of the text."""
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.regexp_count(text_of("text"), F.lit(WORD)).cast("long").alias("size"),
+        F.xxhash64(text_of("text")).alias("hash"),
     )
 
 
@@ -177,7 +178,7 @@ def mixture(docs: DataFrame, block: int = BLOCK, shard_words: int = SHARD_WORDS,
     dealt = rows.alias("r").join(quotas.alias("q"), same).select("r.*", "q.quota")
 
     def take(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["doc_id", "size"], ignore_index=True)
+        part = part.sort_values(["doc_id", "size", "hash"], ignore_index=True)
         source, shard, quota = part["source"].iloc[0], int(part["shard"].iloc[0]), int(part["quota"].iloc[0])
         words = part["size"].to_numpy(dtype=np.int64)
         times = block_times(int(words.sum()), quota, block, (seed, shard, *(source or "").encode()))
@@ -186,7 +187,7 @@ def mixture(docs: DataFrame, block: int = BLOCK, shard_words: int = SHARD_WORDS,
 
     return dealt.groupBy("source", "shard").applyInPandas(
         take,
-        "doc_id long, source string, size long, source_size long, target double, shard int, quota long, "
+        "doc_id long, source string, size long, hash long, source_size long, target double, shard int, quota long, "
         "taken long, start long, words long",
     )
 
@@ -203,8 +204,11 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shard_words: int = SHAR
     import re
 
     plan = mixture(docs, block, shard_words, seed).filter("taken > 0")
-    plan = plan.select("doc_id", "size", "shard", "quota", "start", "words", F.col("source").alias("own_source")).dropDuplicates(["doc_id"])
-    rows = docs.select("doc_id", "text", "lang", "source", "n_chars").join(plan, "doc_id")
+    plan = plan.select(F.col("doc_id").alias("own_id"), "size", "hash", "shard", "quota", "start", "words", F.col("source").alias("own_source"))
+    plan = plan.dropDuplicates(["own_id", "own_source", "hash"])  # rows that are equal in these take the same words
+    rows = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("own_id")) & F.col("source").cast("string").eqNullSafe(F.col("own_source"))
+    rows = rows.join(plan, same & (F.xxhash64(text_of("text")) == F.col("hash"))).drop("own_id", "hash")
     word = re.compile(WORD.encode())
 
     def cut_out(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
