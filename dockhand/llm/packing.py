@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockhand.llm.common import arrow, batches, cut, text_of, written
-from dockhand.llm.subwords import CACHED_WORDS, default_vocabulary, shared_ids
+from dockhand.llm.subwords import CACHED_WORDS, default_vocabulary, forget, shared_ids
 
 WINDOW = 2048
 END_ID = 1
@@ -118,6 +118,8 @@ def _pack(window: int):
                 offset += n
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if shared_ids.cache_info().currsize:
+            forget()  # these tasks have no use for the words of the stage before
         shard, rows = None, []
         for batch in source:
             names = ("shard", "source", "doc_id", "ids", "share", "deficit", "head")
