@@ -15,10 +15,14 @@ components meet, those outside the bucket's largest component against all,
 in blocks of bounded size.
 With the default bands a pair at similarity 0.8 is missed once in ten million.
 
+A class of equal sets is a node with a number of its own, so texts that share a
+``doc_id`` are apart and each meets its own near copies.
+
 Defined results: a text without words (or null) has an empty set and is linked
-with nothing; rows that repeat a ``doc_id`` are one node and give a row each;
-rows without a ``doc_id`` take no part, their component is null and they are not
-kept; an empty table gives no rows; other columns are not read.
+with nothing; rows that repeat a ``doc_id`` are documents of their own and give a
+row each, with the smallest ``doc_id`` of their own component; rows without a
+``doc_id`` take no part, their component is null and they are not kept; an empty
+table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -109,28 +113,37 @@ def unlikely(greater: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.
     return out
 
 
-SKETCHES = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("registers", pa.binary())])
+SKETCHES = arrow("doc_id long,mark long,n long,digest binary,registers binary")
 
 
 def _sketch(source: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in source:
-        ids, texts, rows = batch.column("doc_id").to_pylist(), [t.as_buffer().to_pybytes() for t in batch.column("text")], []
+        ids, marks, rows = batch.column("doc_id").to_pylist(), batch.column("mark").to_pylist(), []
+        texts = [t.as_buffer().to_pybytes() for t in batch.column("text")]
         for run in groups(texts):
             sets = shingle_sets([texts[i] for i in run], k)
             some = [s for s in sets if len(s)]
             sketches = iter(registers(some) if some else ())
             for i, s in zip(run, sets, strict=True):
                 if len(s):
-                    rows.append((ids[i], len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), next(sketches).tobytes()))
+                    rows.append((ids[i], marks[i], len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), next(sketches).tobytes()))
                 else:
-                    rows.append((ids[i], 0, None, None))
+                    rows.append((ids[i], marks[i], 0, None, None))
         yield from batches(rows, SKETCHES)
 
 
+def _mark(of: str = "") -> F.Column:
+    """Tells the texts of one doc_id apart."""
+    return F.xxhash64(F.col(f"{of}doc_id").cast("long"), text_of(f"{of}text"))
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _mark().alias("mark"), text_of("text").cast("binary").alias("text"))
+
+
 def sketch(docs: DataFrame, k: int = WORDS_IN_SHINGLE) -> DataFrame:
-    """Per document: doc_id, n (size of its set), digest of the set, registers."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").cast("binary").alias("text"))
-    return rows.mapInArrow(functools.partial(_sketch, k=k), "doc_id long, n long, digest binary, registers binary")
+    """Per document: doc_id, mark of id and text, n (size of its set), digest of the set, registers."""
+    return _texts(docs).mapInArrow(functools.partial(_sketch, k=k), "doc_id long, mark long, n long, digest binary, registers binary")
 
 
 BAND_ROWS = arrow("key long,rep long,n long")
@@ -244,10 +257,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int = WORDS_IN_SHINGLE) ->
     """The pairs whose full sets reach the threshold; a much-paired text is met in chunks of partners."""
     chunks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("chunks"))
     pairs = pairs.join(chunks, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk"))
-    texts = texts.select("doc_id", "text")
-    partners = pairs.join(texts.withColumnRenamed("doc_id", "b"), "b").select("a", "chunk", "b", "text")
+    texts = texts.select("rep", "text")
+    partners = pairs.join(texts.withColumnRenamed("rep", "b"), "b").select("a", "chunk", "b", "text")
     heads = chunks.select("a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-    heads = heads.join(texts.withColumnRenamed("doc_id", "a"), "a").select("a", "chunk", F.lit(None).cast("long").alias("b"), "text")
+    heads = heads.join(texts.withColumnRenamed("rep", "a"), "a").select("a", "chunk", F.lit(None).cast("long").alias("b"), "text")
     dealt = heads.unionByName(partners).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
     return dealt.select("a", "b", "text").mapInArrow(functools.partial(_confirm, k=k), "a long, b long")
 
@@ -263,12 +276,12 @@ def _links_of_rest(members: DataFrame, labels: DataFrame, texts: DataFrame, k: i
     sizes = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("held"))
     cells = sizes.groupBy("key").agg(F.max(F.struct("held", "component"))["component"].alias("cell"), F.count(F.lit(1)).alias("parts"))
     nodes = rows.join(cells.filter("parts > 1").select("key", "cell"), "key").select("cell", "rep", "component").distinct()
-    nodes = cut(nodes.join(texts.select(F.col("doc_id").alias("rep"), "n"), "rep"))
+    nodes = cut(nodes.join(texts.select("rep", "n"), "rep"))
     main, weight = F.col("component") == F.col("cell"), F.col("n") + ROW_WEIGHT
     plan = nodes.groupBy("cell").agg(
         F.ceil(F.sum(F.when(~main, weight)) / BLOCK).cast("int").alias("blocks"), F.ceil(F.sum(weight) / CHUNK).cast("int").alias("chunks")
     )
-    rows = nodes.join(plan, "cell").join(texts.select(F.col("doc_id").alias("rep"), "registers", "text"), "rep")
+    rows = nodes.join(plan, "cell").join(texts.select("rep", "registers", "text"), "rep")
     place, keep = F.xxhash64("rep"), ("rep", "component", "n", "registers", "text")
     block, chunk = F.pmod(place, F.col("blocks")).cast("int"), F.pmod(place, F.col("chunks")).cast("int")
 
@@ -292,39 +305,52 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return moved.unionByName(over.join(labels.select("id"), "id", "left_anti"))
 
 
-def near_groups(docs: DataFrame, k: int = WORDS_IN_SHINGLE) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept; shingles have ``k`` words."""
+def _groups(docs: DataFrame, k: int) -> DataFrame:
+    """Per row: doc_id, mark, n_shingles, and the first (doc_id, mark) of its component, null for rows that take no part."""
     sketches = written(sketch(docs, k))
     usable = sketches.filter("n > 0 AND doc_id IS NOT NULL")
-    least = usable.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    reps = usable.withColumnRenamed("doc_id", "rep").join(least, ["digest", "rep"], "left_semi")
-    reps = written(reps.dropDuplicates(["digest", "rep"]).select("rep", "n", "registers"))
-    bands = reps.mapInArrow(_band, "key long, rep long, n long")
+    least = usable.groupBy("digest").agg(F.min(F.struct("doc_id", "mark")).alias("first")).select("digest", "first.*")
+    reps = usable.join(least, ["digest", "doc_id", "mark"], "left_semi").dropDuplicates(["digest"])
+    # the written numbers of the classes stay as they are, whatever is computed again
+    reps = written(reps.select(F.monotonically_increasing_id().alias("rep"), "digest", "doc_id", "mark", "n", "registers"))
+    bands = reps.select("rep", "n", "registers").mapInArrow(_band, "key long, rep long, n long")
     shared = bands.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("pivot"), F.count(F.lit(1)).alias("held")).filter("held > 1")
     members = cut(bands.join(shared.select("key", "pivot"), "key"))
     stars = members.select("pivot.*", F.col("rep").alias("b"), F.col("n").alias("n_b")).withColumnsRenamed({"rep": "a", "n": "n_a"})
     stars = stars.filter(_compatible("n_a", "n_b") & (F.col("a") != F.col("b"))).distinct()
     of = lambda side: reps.select(F.col("rep").alias(side), F.col("registers").alias(f"regs_{side}"))
     likely = cut(stars.join(of("b"), "b").join(of("a"), "a").mapInArrow(_estimate, "a long, b long"))
-    met = cut(members.select("rep").distinct())
-    wanted = met.select(F.col("rep").alias("doc_id"))
+    met = written(reps.join(members.select("rep").distinct(), "rep", "left_semi").select("rep", "doc_id", "mark", "n", "registers"))
+    wanted = met.select("mark")
     if met.count() <= MOST_IDS_SENT:
         wanted = F.broadcast(wanted)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").cast("binary").alias("text"))
-    texts = texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    texts = written(texts.join(reps.withColumnRenamed("rep", "doc_id"), "doc_id"))
+    texts = _texts(docs).join(wanted, "mark", "left_semi").dropDuplicates(["doc_id", "mark"])
+    texts = written(texts.join(met, ["doc_id", "mark"]).select("rep", "n", "registers", "text"))
     labels = cut(components(confirmed(likely, texts, k)))
     labels = _relabelled(labels, _links_of_rest(members.select("key", "rep"), labels, texts, k))
-    classes = least.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-    classes = classes.select("digest", F.coalesce("component", "rep").alias("component"))
-    rows = sketches.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(classes, "digest", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return rows.select(
+    classes = reps.select("rep", "digest", "doc_id", "mark").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+    classes = cut(classes.select("digest", F.coalesce("component", "rep").alias("component"), F.struct("doc_id", "mark").alias("own")))
+    firsts = classes.groupBy("component").agg(F.min("own").alias("first"))
+    classes = classes.join(firsts, "component").select("digest", "first")
+    rows = sketches.select("doc_id", "mark", F.col("n").alias("n_shingles"), "digest").join(classes, "digest", "left")
+    first = F.coalesce("first", F.struct("doc_id", "mark"))
+    return rows.select("doc_id", "mark", "n_shingles", F.when(F.col("doc_id").isNotNull(), first).alias("first"))
+
+
+def near_groups(docs: DataFrame, k: int = WORDS_IN_SHINGLE) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, kept; shingles have ``k`` words."""
+    component = F.col("first.doc_id")
+    return _groups(docs, k).select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept")
     )
 
 
 def drop_near_copies(docs: DataFrame, k: int = WORDS_IN_SHINGLE) -> DataFrame:
-    """The rows of ``docs`` that stand for their component, with all columns."""
-    dropped = near_groups(docs, k).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that stand for their component, with all columns.
+
+    Of several texts of one component under its smallest id, one stays. Rows without an id stay, and so do
+    rows that repeat both id and text of one that stays.
+    """
+    gone = _groups(docs, k).filter("first.doc_id <> doc_id OR first.mark <> mark").select("doc_id", "mark").distinct().alias("gone")
+    same = (F.col("gone.doc_id") == F.col("d.doc_id").cast("long")) & (F.col("gone.mark") == _mark("d."))
+    return docs.alias("d").join(gone, same, "left_anti").select(*docs.columns)

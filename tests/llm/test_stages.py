@@ -8,7 +8,7 @@ import pytest
 
 pytest.importorskip("dockhand.llm")
 
-from dockhand.llm import exact_dedup, mixing, secrets  # noqa: E402
+from dockhand.llm import exact_dedup, mixing, near_dedup, secrets  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, keep_id long, size long, hash string"
 
@@ -45,3 +45,41 @@ def test_contexts_in_any_case():
     ranks = secrets.dictionary(None) if hasattr(secrets, "dictionary") else {}
     lower, upper = (secrets.guess_spans(t, ranks) for t in ("the password is Zk8qLw92Tx", "THE PASSWORD IS Zk8qLw92Tx"))
     assert lower == upper == [("guess", 16, 26)]
+
+
+def near_by_force(rows):
+    """First row of each row's component, links by plain comparison of all four-word shingles."""
+    sets = [frozenset(tuple(w[k : k + 4]) for k in range(max(1, len(w) - 3))) if (w := (t or "").lower().split()) else frozenset() for _, t, _ in rows]
+    at = list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if rows[i][0] is not None and rows[j][0] is not None and a and 100 * len(a & b) >= 80 * len(a | b):
+                    at[i] = at[j] = min(at[i], at[j])
+    least = {}
+    for i, row in enumerate(rows):
+        least[at[i]] = min(least.get(at[i], row[0]), row[0]) if row[0] is not None else None
+    return [(row[0], len(s), least[at[i]]) for i, (row, s) in enumerate(zip(rows, sets, strict=True))]
+
+
+def test_near_copies_of_texts_that_share_an_id(spark):
+    """Every text under one id meets its own near copies, and none hides another."""
+    long = [" ".join(f"w{n}x{i}" for i in range(200)) for n in range(6)]
+    rows = [(1, t, "a") for t in long] + [(2 + n, t + " tail", "a") for n, t in enumerate(long)]
+    rows += [(9, long[0] + " end", "b"), (9, "a text of its own here", "b"), (9, "a text of its own here", "b"), (9, None, "b"), (None, long[0], "b"), (0, long[5] + " x", "c")]
+    df = frame(spark, rows)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_groups(df).collect()), key=str)
+    assert got == sorted(near_by_force(rows), key=str)
+    assert (0, 198, 0) in got and got.count((1, 197, 1)) == 5 and (1, 197, 0) in got and got.count((9, 3, 9)) == 2
+    kept = near_dedup.drop_near_copies(df)
+    assert kept.columns == df.columns
+    ids = collections.Counter(r.doc_id for r in kept.collect())
+    assert ids == {1: 5, 9: 3, None: 1, 0: 1}
+    assert near_dedup.drop_near_copies(df.limit(0)).count() == 0
+
+
+def test_of_near_copies_under_one_id_one_stays(spark):
+    text = " ".join(f"w{i}" for i in range(200))
+    rows = [(4, text + f" end{n}", "a") for n in range(5)] + [(5, text, "a")]
+    kept = near_dedup.drop_near_copies(frame(spark, rows)).collect()
+    assert [r.doc_id for r in kept] == [4]
