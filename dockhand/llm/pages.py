@@ -7,7 +7,16 @@ paths (a page's votes go from 0 to 1000), Spark sums the votes, and every page i
 extracted again from the elements on the winning path of its host; a page that
 has none uses its own best path. Inside the main elements, menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments are left out, told by tag, role, class or id.
+comments are left out, told by tag, role, class or id. What a word of a class or
+id says is weighed once the page is read: names that only tell of something
+elsewhere (``has-sidebar``, ``no-ads``) or of a part of the article
+(``entry-header``) mark nothing; no such word removes ``main``, a passage without
+a single link that is called related or, where no ``article`` or ``main`` has text,
+the element that holds nearly all of it. Marks of reader comments and consents
+yield only if all else is empty.
+
+A page is read in linear time: open tags are counted by name, containers know
+their parent, and paths beyond ``LONGEST_PATH`` characters go by a hash.
 
 Text is cut into blocks at block-level tags. In a block, character references
 are decoded and white space becomes one space; blocks are joined by line
@@ -21,7 +30,9 @@ gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -64,6 +75,13 @@ NOT_MAIN_WORDS = set(
     "subscription toolbar widget".split()
 )
 MAIN_WORDS = set("article body content entry main post story text".split())
+HEADED_WORDS = set("article entry post story".split())  # a header with one of these holds the headline
+# Words before another one in a name, which then tells of the layout.
+ELSEWHERE_WORDS = set("has hide hides no not off show shows toggle with without".split())
+# Marks of text that may well be longer than the article.
+FIRM_WORDS = set("comment comments consent cookie cookies disqus gdpr newsletter respond subscribe subscription".split())
+NEARLY_ALL = 5  # an element with this many times the running text of all unmarked ones holds the article
+LONGEST_PATH = 512
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -76,69 +94,76 @@ WORDS = re.compile(r"[a-z]+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "boiler", "container", "main")
+    __slots__ = ("tag", "above", "path", "depth", "box", "marks", "hard", "firm", "out", "main", "chars", "linked", "links")
 
-    def __init__(self, tag: str, path: str, boiler: bool, container: Element | None, main: bool):
-        self.tag, self.path, self.boiler, self.main = tag, path, boiler, main
-        self.container = container  # the nearest container, itself included
+    def __init__(self, tag: str, above: Element | None):
+        self.tag, self.above = tag, above
+        self.path, self.depth, self.box = (above.path, above.depth, above.box) if above else ("", 0, self)
+        self.marks: frozenset[str] = frozenset()  # words that speak against it
+        self.hard = above is not None and above.hard  # left out by tag
+        self.firm = above is not None and above.firm  # a mark here or around holds whatever the length
+        self.out = self.main = False
+        self.chars = self.linked = self.links = 0
 
 
-def _marks(attributes: str) -> tuple[list[str], list[str]]:
-    """Classes of a start tag, and all words of its class, id and role."""
-    classes, words = [], []
+def _marks(attributes: str) -> tuple[list[str], frozenset[str]]:
+    """Classes of a start tag, and the words of its class, id and role that speak against it."""
+    classes, against = [], set()
     if "=" in attributes:
         for name, *values in ATTRIBUTE.findall(attributes):
             name = name.lower()
             if name in ("class", "id", "role"):
                 value = unescape("".join(values)).lower()
-                words += WORDS.findall(value)
                 if name == "class":
                     classes += value.split()
-    return classes, words
+                for token in value.split():
+                    words = WORDS.findall(token)
+                    if NOT_MAIN_WORDS.isdisjoint(words) or (len(words) > 1 and words[0] in ELSEWHERE_WORDS):
+                        continue
+                    against.update(w for w in words if w in NOT_MAIN_WORDS and not (w == "header" and not HEADED_WORDS.isdisjoint(words)))
+    return classes, frozenset(against)
 
 
 class Page:
     """Blocks of one page with the elements they stand in."""
 
-    def __init__(self, html: str, main_path: str | None = None):
-        self.main_path = main_path
-        self.blocks: list[tuple[str, Element, int]] = []  # text, innermost element, length of link text
-        self.found = False
-        self.parts: list[str] = []
-        self.linked = 0
-        root = Element("", "", False, None, main_path == "")
-        root.container = root
-        self.stack = [root]
-        self.found = root.main
+    def __init__(self, html: str):
+        self.pieces: list[tuple[str, Element, bool]] = []  # text, innermost element, in a link
+        self.blocks: list[tuple[int, int, Element]] = []  # first and last piece, innermost element
+        self.begun = 0
+        root = Element("", None)
+        self.elements, self.stack = [root], [root]
+        self.open: Counter[str] = Counter()
+        self.places: dict[str, list[int]] = {name: [] for name in CLOSED_BY}
+        self.fences: list[int] = []
         self._read(html)
+        self._weigh()
 
     def _flush(self) -> None:
-        if self.parts:
-            text = " ".join("".join(self.parts).split())
-            if text:
-                self.blocks.append((text, self.stack[-1], self.linked))
-            self.parts, self.linked = [], 0
+        if self.begun < len(self.pieces):
+            self.blocks.append((self.begun, len(self.pieces), self.stack[-1]))
+            self.begun = len(self.pieces)
 
     def _text(self, raw: str) -> None:
-        if raw and not self.stack[-1].boiler:
+        if raw and not self.stack[-1].hard:
             text = unescape(raw) if "&" in raw else raw
-            self.parts.append(text)
-            if any(e.tag == "a" for e in self.stack[-4:]):
-                self.linked += len(text.strip())
+            self.pieces.append((text, self.stack[-1], any(e.tag == "a" for e in self.stack[-4:])))
 
     def _pop(self, depth: int) -> None:
         if any(e.tag in BLOCKS for e in self.stack[depth:]):
             self._flush()
+        for element in self.stack[depth:]:
+            self.open[element.tag] -= 1
+            if element.tag in FENCES:
+                self.fences.pop()
+            if element.tag in self.places:
+                self.places[element.tag].pop()
         del self.stack[depth:]
 
     def _open(self, tag: str, attributes: str) -> None:
-        for name in [n for n, closers in CLOSED_BY.items() if tag in closers]:
-            for depth in range(len(self.stack) - 1, 0, -1):
-                if self.stack[depth].tag == name:
-                    self._pop(depth)
-                    break
-                if self.stack[depth].tag in FENCES and name != self.stack[depth].tag:
-                    break
+        for name, closers in CLOSED_BY.items():
+            if tag in closers and self.places[name] and self.places[name][-1] > (self.fences[-1] if self.fences else 0):
+                self._pop(self.places[name][-1])
         if tag in BLOCKS:
             self._flush()
         if tag in VOID:
@@ -146,26 +171,35 @@ class Page:
                 self._text(" ")
             return
         above = self.stack[-1]
-        classes, words = _marks(attributes)
-        fixed = tag in ("html", "body", "main", "article")
-        boiler = above.boiler or tag in NOT_MAIN_TAGS or (not fixed and not NOT_MAIN_WORDS.isdisjoint(words))
-        path, container = above.path, above.container
+        element = Element(tag, above)
+        classes, against = _marks(attributes)
+        element.hard = above.hard or tag in NOT_MAIN_TAGS
+        if tag not in ("html", "body", "main", "article"):
+            element.marks = against
+            element.firm = above.firm or not FIRM_WORDS.isdisjoint(against)
         if tag in CONTAINERS:
             names = sorted({re.sub(r"\d+", "N", c) for c in classes})
-            path = f"{path}/{'.'.join([tag, *names])}"
-        element = Element(tag, path, boiler, container, above.main)
-        if tag in CONTAINERS:
-            element.container = element
-            if path == self.main_path and not boiler:
-                element.main = self.found = True
+            element.path, element.depth, element.box = f"{above.path}/{'.'.join([tag, *names])}", above.depth + 1, element
+            if len(element.path) > LONGEST_PATH:
+                hashed = hashlib.blake2b(element.path.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+                element.path = f"#{hashed}/{tag}"
+        if tag == "a":
+            above.links += 1
+        if tag in FENCES:
+            self.fences.append(len(self.stack))
+        if tag in self.places:
+            self.places[tag].append(len(self.stack))
+        self.open[tag] += 1
         self.stack.append(element)
+        self.elements.append(element)
 
     def _close(self, tag: str) -> None:
-        for depth in range(len(self.stack) - 1, 0, -1):
-            if self.stack[depth].tag == tag:
-                self._pop(depth)
-                return
-        if tag in ("p", "br"):
+        if self.open[tag]:
+            depth = len(self.stack) - 1
+            while self.stack[depth].tag != tag:
+                depth -= 1
+            self._pop(depth)
+        elif tag in ("p", "br"):
             self._flush()
 
     def _read(self, html: str) -> None:
@@ -190,24 +224,69 @@ class Page:
         self._text(html[at:])
         self._flush()
 
+    def _weigh(self) -> None:
+        """Decide which marks hold, and with them which elements are out."""
+        marked = [e for e in self.elements if e.marks and not e.hard]
+        if marked:
+            for text, element, linked in self.pieces:
+                element.chars += len(text.strip())
+                element.linked += len(text.strip()) if linked else 0
+            holds_main = set()
+            for e in reversed(self.elements[1:]):  # what an element holds, without marked parts of it
+                if e.tag == "main" or e in holds_main:
+                    holds_main.add(e.above)
+                if not e.marks and not e.hard:
+                    e.above.chars, e.above.linked, e.above.links = e.above.chars + e.chars, e.above.linked + e.linked, e.above.links + e.links
+            self._rule_out()
+            free = self.elements[0].chars - self.elements[0].linked
+            settled = any(e.chars and not e.out and e.tag in ("article", "main") for e in self.elements)
+            soft = [e for e in marked if not free or not settled and not e.firm]
+            most = max(soft, key=lambda e: (not e.firm, e.chars - e.linked), default=None)
+            for e in marked:
+                running = e.chars - e.linked
+                wrapper = e is most and running > NEARLY_ALL * free
+                passage = e.marks == {"related"} and running and not e.links
+                if e in holds_main or passage:
+                    e.marks = frozenset()
+                while wrapper and e is not None:  # it is no use to let a part in while the whole is out
+                    e.marks, e = frozenset(), e.above
+        self._rule_out()
+
+    def _rule_out(self) -> None:
+        for e in self.elements:
+            e.out = e.hard or bool(e.marks) or (e.above is not None and e.above.out)
+
+    def _block(self, first: int, last: int) -> tuple[str, int]:
+        """Text of a block without what is out, and the length of its link text."""
+        parts = [p for p in self.pieces[first:last] if not p[1].out]
+        return " ".join("".join(p[0] for p in parts).split()), sum(len(text.strip()) for text, _, linked in parts if linked)
+
     def scores(self) -> dict[str, tuple[float, int]]:
         """Score and depth of every container path with text."""
-        found: dict[str, list[float]] = {}
-        for text, element, linked in self.blocks:
-            path = element.path
-            while True:
-                held = found.setdefault(path, [0.0, 0.0])
-                held[0] += len(text)
-                held[1] += linked
-                if not path:
-                    break
-                path = path.rpartition("/")[0]
+        held: dict[Element, list[int]] = {}
+        for first, last, element in self.blocks:
+            text, linked = self._block(first, last)
+            if text:
+                sums = held.setdefault(element.box, [0, 0])
+                sums[0] += len(text)
+                sums[1] += linked
+        found: dict[str, list] = {}
+        for e in reversed(self.elements):
+            if e.box is e and e in held:
+                chars, linked = held[e]
+                sums = found.setdefault(e.path, [0, 0, e.depth])
+                sums[0] += chars
+                sums[1] += linked
+                if e.above is not None:
+                    above = held.setdefault(e.above.box, [0, 0])
+                    above[0] += chars
+                    above[1] += linked
         out = {}
-        for path, (chars, linked) in found.items():
+        for path, (chars, linked, depth) in found.items():
             tag, *classes = path.rpartition("/")[2].split(".")
             words = {w for c in classes for w in WORDS.findall(c)}
             promise = 1.0 if tag in ("article", "main") or not MAIN_WORDS.isdisjoint(words) else 0.7 if classes or tag in ("div", "section") else 0.5
-            out[path] = (chars * promise * (1 - min(linked / chars, 1.0)), path.count("/"))
+            out[path] = (chars * promise * (1 - min(linked / chars, 1.0)), depth)
         return out
 
     def votes(self) -> list[tuple[str, int, int]]:
@@ -216,19 +295,20 @@ class Page:
         best = max((s for s, _ in scores.values()), default=0.0)
         return [(p, d, round(1000 * s / best)) for p, (s, d) in scores.items() if best > 0 and s > 0]
 
-    def text(self) -> str:
-        """Blocks of the main elements, in page order."""
-        return "\n".join(text for text, element, _ in self.blocks if element.main)
+    def text(self, path: str) -> str:
+        """Blocks of the elements on the path, in page order."""
+        for e in self.elements:
+            e.main = (e.above is not None and e.above.main) or (e.box is e and e.path == path and not e.out)
+        return "\n".join(text for first, last, e in self.blocks if e.main and (text := self._block(first, last)[0]))
 
 
 def extract(html: str, path: str | None) -> str:
     """Main text by the host's path, or by the page's own where the page lacks it."""
-    if path is not None:
-        page = Page(html, path)
-        if page.found and (text := page.text()):
-            return text
-    own = sorted(Page(html).votes(), key=lambda v: (v[2], v[1], v[0]))
-    return Page(html, own[-1][0]).text() if own else ""
+    page = Page(html)
+    if path is not None and (text := page.text(path)):
+        return text
+    own = sorted(page.votes(), key=lambda v: (v[2], v[1], v[0]))
+    return page.text(own[-1][0]) if own else ""
 
 
 VOTES = arrow("host string,path string,depth int,votes long")

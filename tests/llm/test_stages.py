@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import collections
+import time
 
 import pytest
 
 pytest.importorskip("dockhand.llm")
 
-from dockhand.llm import exact_dedup, mixing, near_dedup, secrets  # noqa: E402
+from dockhand.llm import exact_dedup, mixing, near_dedup, pages, secrets  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, keep_id long, size long, hash string"
 
@@ -83,3 +84,39 @@ def test_of_near_copies_under_one_id_one_stays(spark):
     rows = [(4, text + f" end{n}", "a") for n in range(5)] + [(5, text, "a")]
     kept = near_dedup.drop_near_copies(frame(spark, rows)).collect()
     assert [r.doc_id for r in kept] == [4]
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ('<div class="layout has-sidebar"><article><p>A long text.</p></article><div class="sidebar">side</div></div>', "A long text."),
+        ('<div class="content no-ads"><p>A long text.</p><div class=ads>Buy</div></div>', "A long text."),
+        ('<article><div class="entry-header"><h1>Head</h1></div><p>Body.</p></article>', "Head\nBody."),
+        ('<main><p>First.</p><section id="related-work"><p>Others.</p></section><div class=related><a href=x>more</a> teaser</div></main>', "First.\nOthers."),
+        ("<div class=widget><p>" + "word " * 50 + "</p><div class=comments>" + "reply " * 500 + "</div></div><div>Home</div>", ("word " * 50).strip()),
+        ("<div class=post><p>short one</p></div><div class=comments>" + "reply " * 500 + "</div>", "short one"),
+        ("<article><p>short one</p></article><div class=widget>" + "word " * 500 + "</div>", "short one"),
+        ("<div class=comments><p>all there is</p></div>", "all there is"),
+        ("<div class='banner'><main><p>the longer text</p></main></div><p>other</p>", "the longer text"),
+        ("<nav>menu</nav>", ""),
+    ],
+)
+def test_marks_are_weighed(html, want):
+    assert pages.extract(html, None) == want
+
+
+def test_the_path_of_the_host_decides(spark):
+    """A page holds its host's path and one that it would choose itself."""
+    usual = "<body><div class=story><p>{}</p></div><div class=extra><p>note</p></div></body>"
+    odd = "<body><div class=story><p>short</p></div><div class=extra><p>" + "more words " * 30 + "</p></div></body>"
+    rows = [(i, f"http://one/{i}", usual.format(f"the text of page {i} " * 9)) for i in range(5)] + [(5, "http://one/5", odd), (6, "http://two/", odd)]
+    got = {r.page_id: r.text for r in pages.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[5] == "short" and got[0] == ("the text of page 0 " * 9).strip()
+    assert got[6] == pages.extract(odd, None) != "short"
+
+
+@pytest.mark.parametrize("unit", ["<b>x</i>", "<div>", "<td><b>x", "<p><b><li>", "<div class=sidebar>x", "</div><main>"])
+def test_reading_a_page_is_linear(unit):
+    start = time.process_time()
+    pages.extract("<p>" + unit * 40_000 + "end", None)
+    assert time.process_time() - start < 20
