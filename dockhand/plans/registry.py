@@ -20,6 +20,7 @@ from dockhand.operators import (
     language,
     manifests,
     monitor,
+    names,
     numbering,
     products,
     quality,
@@ -556,6 +557,16 @@ def gazetteer_entities(spark, folder):
     return enrich.gazetteer_entities(b.documents(spark, folder), gazetteer, "doc_id")
 
 
+@query
+def name_entities(spark, folder):
+    """The first two and the first three words of the page headings as names."""
+    heading = text.tokens(F.regexp_extract("html", "<h1>(.*?)</h1>", 1))
+    pages = b.table(spark, folder, "pages").select(heading.alias("words"))
+    first = [pages.filter(F.size("words") >= n).select(F.array_join(F.slice("words", 1, n), " ").alias("name")) for n in (2, 3)]
+    listed = first[0].unionByName(first[1]).withColumn("label", F.lit("HEADING"))
+    return names.name_entities(b.documents(spark, folder), listed, "doc_id")
+
+
 @query
 def process_documents(spark, folder):
     files = _two_extractors(_with_faults(b.files(spark, folder))).withColumn(
