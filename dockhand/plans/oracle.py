@@ -503,20 +503,24 @@ ORACLE_SQL: dict[str, str] = {
     "gazetteer_entities": rf"""{_needs("words")},
         names AS (SELECT DISTINCT regexp_extract(url, '^https?://(?:www\.|m\.)?([a-z]+)\.', 1) AS name FROM pages)
         SELECT doc_id, name, 'SITE' AS label, count(*) AS n FROM words JOIN names ON name = term GROUP BY doc_id, name""",
-    "name_entities": r"""WITH RECURSIVE heads AS (
+    "name_entities": r"""WITH heads AS (
             SELECT list_filter(regexp_split_to_array(lower(regexp_extract(html, '<h1>(.*?)</h1>', 1)), '[^\p{L}]+'), lambda x: x <> '') AS w
             FROM pages),
         names AS (SELECT DISTINCT array_to_string(w[1:n], ' ') AS name, n FROM heads, (VALUES (2), (3)) AS v(n) WHERE len(w) >= n),
         listed AS (
             SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}]+'), lambda x: x <> '') AS w FROM documents),
         starts AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS spot FROM listed),
-        matches AS (SELECT doc_id, spot, max(n) AS n, arg_max(name, n) AS name
-                    FROM starts JOIN names ON array_to_string(w[spot : spot + n - 1], ' ') = name GROUP BY doc_id, spot),
-        taken AS (SELECT doc_id, min(spot) AS spot, arg_min(n, spot) AS n FROM matches GROUP BY doc_id
-                  UNION ALL
-                  SELECT m.doc_id, min(m.spot), arg_min(m.n, m.spot)
-                  FROM taken t JOIN matches m ON m.doc_id = t.doc_id AND m.spot >= t.spot + t.n GROUP BY m.doc_id)
-        SELECT doc_id, name, 'HEADING' AS label, count(*) AS n FROM matches JOIN taken USING (doc_id, spot) GROUP BY doc_id, name""",
+        runs AS (SELECT doc_id, spot, n, array_to_string(w[spot : spot + n - 1], ' ') AS name
+                 FROM starts, (VALUES (2), (3)) AS v(n) WHERE spot + n - 1 <= len(w)),
+        matches AS (SELECT doc_id, spot, spot + max(n) AS after, arg_max(name, n) AS name
+                    FROM runs JOIN names USING (name, n) GROUP BY doc_id, spot),
+        folded AS (SELECT doc_id, list_reduce(
+                       list({'spot': spot, 'after': after, 'kept': [name]} ORDER BY spot),
+                       lambda state, x: CASE WHEN x.spot < state.after THEN state
+                           ELSE {'spot': x.spot, 'after': x.after, 'kept': list_concat(state.kept, x.kept)} END).kept AS kept
+                   FROM matches GROUP BY doc_id)
+        SELECT doc_id, name, 'HEADING' AS label, count(*) AS n FROM (SELECT doc_id, unnest(kept) AS name FROM folded)
+        GROUP BY doc_id, name""",
     "process_documents": f"""{_needs("files faulty folds vocabulary entries")}, profile AS {_ranked_profile("lang")},
         extracted AS (SELECT file_id, path, source, size, lang,
                              CASE WHEN path LIKE '%.bin' THEN concat_ws('', 'ocr ', content) ELSE content END AS content,
