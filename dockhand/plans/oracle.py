@@ -374,6 +374,10 @@ ORACLE_SQL: dict[str, str] = {
     "surrogate_keys": """
         SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS order_seq, o_orderkey,
                CASE WHEN o_orderstatus = 'P' THEN '?' ELSE o_orderstatus END AS status FROM orders""",
+    "appended_keys": """
+        SELECT o_orderkey, o_orderdate, o_orderstatus,
+               row_number() OVER (ORDER BY o_orderstatus, o_orderdate, o_orderkey) AS order_seq
+        FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')""",
     "get_product_parts": f"""{_needs("parts bom part_revisions change_management")}, used AS (
             SELECT PartID FROM bom WHERE ProductID = 201)
         SELECT PartNumber, Nomenclature, Revision, ChangeDescription

@@ -25,6 +25,7 @@ from dockhand.operators import (
     products,
     quality,
     quantity_view,
+    reserved_keys,
     search,
 )
 from dockhand.plans import bindings as b
@@ -337,6 +338,17 @@ def surrogate_keys(spark, folder):
     return numbering.fill_defaults(keyed, {"status": F.lit("?")}).select("order_seq", "o_orderkey", "status")
 
 
+@query
+def appended_keys(spark, folder):
+    """Orders that come in one batch for each status; the second batch comes twice."""
+    orders = b.table(spark, folder, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+    keyed = reserved_keys.KeyedTable(spark, _versioned(spark).folder, "order_seq")
+    for number, status in ((0, "F"), (1, "O"), (1, "O"), (2, "P")):
+        rows = orders.filter(F.col("o_orderstatus") == status)
+        keyed.append(rows, ["o_orderdate", "o_orderkey"], number)
+    return keyed.read()
+
+
 # ---- joins ------------------------------------------------------------------
 
 
