@@ -7,6 +7,8 @@ The dialect is DuckDB's.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from dockhand.functions.text import WHITESPACE, all_stop_words
 from dockhand.functions.paths import ACCEPTED_EXTENSIONS
 
@@ -286,19 +288,31 @@ _DQ = {
 }
 _DQ_VIEWS = _needs("log parts bom part_components")
 
+_TAG_END = r"""(?:[^>=]+|=\s*(?:"[^"]*"|''[^'']*'')?)*(?:>|\z)"""
+_HIDDEN = "".join(rf"<{tag}\b{_TAG_END}.*?(?:</{tag}\b[^>]*(?:>|\z)|\z)|" for tag in ("script", "style"))
+_NAMED = ", ".join(f"'{name}': {code}" for name, code in (name2codepoint | {"lang": 0x27E8, "rang": 0x27E9, "apos": 39, "nbsp": 32}).items())
+_WINDOWS = {code: bytes([code]).decode("cp1252", errors="ignore") for code in range(0x80, 0xA0)}
+_MENDED = ", ".join(f"{code}: {ord(char)}" for code, char in (_WINDOWS | {0xA0: " "}).items() if char)
+
+
+def _unescaped(text: str) -> str:
+    """The text with named and numbered character references turned into characters."""
+    found = [rf"regexp_extract(p, '^{form};', 1)" for form in ("#0*([0-9]{1,7})", "#[xX]0*([0-9a-fA-F]{1,6})", "([a-zA-Z][a-zA-Z0-9]*)")]
+    code = f"CASE WHEN {found[0]} <> '' THEN CAST({found[0]} AS INT) WHEN {found[1]} <> '' THEN CAST('0x' || {found[1]} AS INT) END"
+    number = f"list_transform([{code}], lambda c: CASE WHEN c = 0 OR c BETWEEN 55296 AND 57343 OR c > 1114111 THEN 65533 ELSE coalesce(MAP {{{_MENDED}}}[c], c) END)[1]"
+    char = f"coalesce({number}, MAP {{{_NAMED}}}[{found[2]}])"
+    piece = f"coalesce(chr({char}) || substr(p, strpos(p, ';') + 1), '&' || p)"
+    return f"array_to_string(list_transform(string_split({text}, '&'), lambda p, i: CASE WHEN i = 1 THEN p ELSE {piece} END), '')"
+
+
 ORACLE_SQL: dict[str, str] = {
     "extract_html_text": rf"""
-        SELECT page_id, {_strip(f"regexp_replace(t, '{WS}+', ' ', 'g')")} AS content,
-               {_strip("replace(replace(replace(replace(replace(replace(title, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&amp;', '&')")} AS title,
-               lang, 'html' AS extraction_method
+        SELECT page_id, {_strip(f"regexp_replace({_unescaped('bare')}, '{WS}+', ' ', 'g')")} AS content,
+               {_strip(_unescaped("title"))} AS title, lang, 'html' AS extraction_method
         FROM (SELECT page_id,
                      regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title,
                      regexp_extract(html, '(?is)<html[^>]*\slang="([^"]*)"', 1) AS lang,
-                     replace(replace(replace(replace(replace(replace(
-                       regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
-                         '<script\b[^>]*>.*?</script\s*>', ' ', 'gis'), '<style\b[^>]*>.*?</style\s*>', ' ', 'gis'),
-                         '<!--.*?-->', ' ', 'gs'), '<[!/a-zA-Z][^>]*>', ' ', 'g'),
-                       '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&amp;', '&') AS t
+                     regexp_replace(html, '(?is){_HIDDEN}<!--.*?(?:-->|\z)|<[!?][^>]*(?:>|\z)|</?[a-z]{_TAG_END}', ' ', 'g') AS bare
               FROM pages)""",
     "scan_table": "SELECT * FROM customer",
     "preview_table": "SELECT * FROM nation ORDER BY n_nationkey LIMIT 20",

@@ -1,15 +1,19 @@
 from __future__ import annotations
 
+import html
+import html.entities
 import re
 from collections import Counter
 from os.path import splitext
 
+import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from dockhand.functions import crypto, markup, paths, text, values
 from dockhand.operators import enrich, language, search
+from dockhand.plans.oracle import ORACLE_SQL
 
 NAMES = ["a.tar.gz", ".bashrc", "..a.b", "a.", "noext", "x.PDF", "...", "", ".", "a.b.", "..a", "a b.c d"]
 
@@ -77,16 +81,55 @@ def test_entities(spark):
 
 
 def test_html(spark):
-    html = (
+    page = (
         '<!DOCTYPE html><html class="x" lang="de"><head><title> A &amp;lt; B </title><style>p{}</style>'
         '<script>var t="</p>";</script></head><body><!-- <b>no</b> --><p>1 < 2 &amp;&nbsp;x<br>y</p></body></html>'
     )
-    df = spark.createDataFrame([(html,)], "html string")
+    df = spark.createDataFrame([(page,)], "html string")
     row = df.select(markup.html_text(F.col("html")).alias("t"), markup.html_metadata(F.col("html")).alias("m")).first()
     assert row.t == "A &lt; B 1 < 2 & x y"
     assert row.m == {"title": "A &lt; B", "lang": "de"}
 
 
+HARD_HTML = [
+    ("a<script>x<b>no</b>", "a"),
+    ("a<STYLE>p{}</style x>b<script src='>'>no</script >c", "a b c"),
+    ("&#x2019;&eacute;&#233;&Eacute;&bogus; &amp;lt; &amp;#65; &#65 &&&amp", "\u2019\xe9\xe9\xc9&bogus; &lt; &#65; &#65 &&&amp"),
+    ("&#0;&#xD800;&#x110000;&#9999999;&#128;&#8364;&#x1F600;&#0000065;a&nbsp;&#160;b", "\ufffd" * 4 + "\u20ac\u20ac\U0001f600Aa b"),
+    ("<a title=\"a>b\" rel='c>d'>e</a>", "e"),
+    ("<a title=\"x>y", "y"),
+    ("<p it's>z</p>&apos;", "z '"),
+    ("x<!-- a > b", "x"),
+    ("x<!-- <script> -->y<?php z ?>&", "x y &"),
+    ("1 < 2 <3 <", "1 < 2 <3 <"),
+    ("<a href=x", ""),
+    ("", ""),
+    (None, None),
+]
+
+
+def test_unclosed_parts_quotes_and_references(spark):
+    assert column(spark, [h for h, _ in HARD_HTML], markup.html_text(F.col("t"))) == [t for _, t in HARD_HTML]
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE pages (page_id BIGINT, html VARCHAR)")
+    duck.executemany("INSERT INTO pages VALUES (?, ?)", [(i, h) for i, (h, _) in enumerate(HARD_HTML)])
+    rows = duck.sql(f"SELECT page_id, content FROM ({ORACLE_SQL['extract_html_text']})").fetchall()
+    assert [content for _, content in sorted(rows)] == [t for _, t in HARD_HTML]
+
+
+def test_references_are_pythons(spark):
+    numbers = [*range(32, 127), *range(128, 160), *range(161, 0x3000, 37), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0x10FFFD, 0x110000, 0]
+    items = [f"x&#{n};y" for n in numbers] + [f"x&#x{n:X};" for n in numbers] + [f"&{n};&{n};" for n in html.entities.name2codepoint]
+    got = column(spark, items, markup.unescape(F.col("t")))
+    assert got == [html.unescape(i).replace("\xa0", " ") for i in items]
+
+
+def test_odd_pages_take_one_scan(spark):
+    pages = ["<a " + "x='1' " * 30_000 + ">k", "<a " + "b=" * 100_000 + ">k", "<script>" * 20_000, "<" * 100_000, '<a t="' * 20_000, "&#65;" * 20_000]
+    lengths = column(spark, pages, F.length(markup.html_text(F.col("t"))))
+    assert lengths == [1, 1, 0, 100_000, 0, 20_000]
+
+
 def test_language_gate_and_undecided(spark):
     docs = spark.createDataFrame(
         [("the cat sat on the mat", "en"), ("der Hund ist in der Hütte", "de")], "text string, lang string"
