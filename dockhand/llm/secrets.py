@@ -19,10 +19,12 @@ gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
-from math import log10
+from heapq import heappop, heappush
+from math import ceil, inf, log10
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,7 +54,6 @@ DATE = re.compile(
     r"|(?:0[1-9]|[12]\d|3[01])(?:0[1-9]|1[0-2])(?:19|20)\d\d"
     r"|(?:19|20)\d\d"
 )
-REPEAT = re.compile(r"(.{1,8}?)\1+")
 
 
 def _neighbours() -> set[str]:
@@ -70,6 +71,7 @@ def _neighbours() -> set[str]:
 NEIGHBOURS = _neighbours()
 
 
+@functools.lru_cache(maxsize=2)
 def dictionary(vocabulary: str | None) -> dict[str, float]:
     """log10 rank of words: the tried passwords, then the whole words of a tokenizer file in its order."""
     ranks: dict[str, float] = {}
@@ -93,49 +95,79 @@ def _alphabet(char: str) -> float:
     return 33 if char.isascii() else 100
 
 
-def guess_cost(value: str, ranks: dict[str, float]) -> float:
-    """log10 guesses of the cheapest segmentation.
+def _same(text: str, i: int, j: int) -> int:
+    """How many characters from i on equal those from j on, i < j; compared in growing pieces."""
+    done, piece = 0, 16
+    while piece:
+        if j + done + piece <= len(text) and text[i + done : i + done + piece] == text[j + done : j + done + piece]:
+            done += piece
+            piece *= 2
+        else:
+            piece //= 2
+    return done
+
+
+def guess_cost(value: str, ranks: dict[str, float], least: float = inf) -> float:
+    """log10 guesses of the cheapest segmentation, ``inf`` if that is ``least`` or more.
 
     Costs: a word its rank, and a bit for capitals and for look-alike digits;
     a date 365.25 days times the years around 2000 (a year alone 100); a repeat its
     unit by brute force times the count; a keyboard walk of 3 or more keys
     the start, its length and a bit for each turn; else the alphabet of each
-    character. Every segment costs a factor of 2 for where it begins. Work is linear
-    in the length of the value.
+    character. Every segment but a character costs a factor of 2 for where it begins.
+
+    Every word, date, repeat and walk is offered at every place that is reached for less than ``least``, so a
+    value that takes many guesses is left after its first characters, however long it is. A unit
+    of ``least`` characters costs too much by itself; a repeat may end after any of its last copies, where a segment
+    that goes on beyond it can begin (with ``least`` infinite, after any).
     """
     lower = value.lower()
     if len(lower) != len(value):
         lower = value
     plain = lower.translate(LEET)
-    cost = [0.0] + [float("inf")] * len(value)
-    brute = [log10(_alphabet(c)) for c in value]
-    dates = {m.start(): m.end() for m in DATE.finditer(value)}
-    repeats = {m.start(): (m.end(), len(m[1])) for m in REPEAT.finditer(lower)}
-    step = log10(2)
-    walk = [0] * len(value)  # end of the keyboard walk from here
-    for i in range(len(value) - 1, -1, -1):
-        walk[i] = walk[i + 1] if i + 1 < len(value) and lower[i : i + 2] in NEIGHBOURS else i + 1
-    for i in range(len(value)):
+    step, size = log10(2), len(value)
+    most_unit = size // 2 if least == inf else min(size // 2, ceil(least) - 1)
+    tail = max(MOST_WORD, 2 * most_unit)
+    cost, places = {0: 0.0}, [0]
+
+    def offer(end: int, total: float) -> None:
+        if total < least and total < cost.get(end, inf):
+            if end not in cost:
+                heappush(places, end)
+            cost[end] = total
+
+    while places:
+        i = heappop(places)
+        if i == size:
+            break
         here = cost[i]
-        cost[i + 1] = min(cost[i + 1], here + brute[i])
-        for j in range(i + 3, min(i + MOST_WORD, len(value)) + 1):
-            rank = ranks.get(lower[i:j])
-            if rank is None:
-                rank = ranks.get(plain[i:j])
-                rank = None if rank is None else rank + step
-            if rank is not None:
-                cased = step if value[i:j] != lower[i:j] else 0.0
-                cost[j] = min(cost[j], here + step + rank + cased)
-        if i in dates:
-            j = dates[i]
-            cost[j] = min(cost[j], here + step + (2.0 if j - i == 4 else log10(365.25 * 100)))
-        if i in repeats:
-            j, unit = repeats[i]
-            cost[j] = min(cost[j], here + step + sum(brute[i : i + unit]) + log10((j - i) // unit))
-        if walk[i] - i >= 3:
-            turns = sum(1 for k in range(i + 1, walk[i] - 1) if _direction(lower, k - 1) != _direction(lower, k))
-            cost[walk[i]] = min(cost[walk[i]], here + step + log10(40 * (walk[i] - i)) + turns * step)
-    return cost[-1]
+        offer(i + 1, here + log10(_alphabet(value[i])))
+        here += step
+        for j in range(i + 3, min(i + MOST_WORD, size) + 1):
+            cased = step if value[i:j] != lower[i:j] else 0.0
+            if (rank := ranks.get(lower[i:j])) is not None:
+                offer(j, here + rank + cased)
+            elif (rank := ranks.get(plain[i:j])) is not None:
+                offer(j, here + rank + step + cased)
+        if value[i].isdigit():
+            for j in range(i + 4, min(i + 10, size) + 1):
+                if DATE.fullmatch(value, i, j):
+                    offer(j, here + (2.0 if j - i == 4 else log10(365.25 * 100)))
+        brute = here
+        for unit in range(1, min(most_unit, (size - i) // 2) + 1):
+            brute += log10(_alphabet(value[i + unit - 1]))
+            if brute >= least:
+                break
+            copies = 1 + _same(lower, i, i + unit) // unit
+            for n in range(max(2, copies - tail // unit), copies + 1):
+                offer(i + n * unit, brute + log10(n))
+        turns, j = 0, i + 1
+        while j < size and lower[j - 1 : j + 1] in NEIGHBOURS and here + turns * step < least:
+            turns += j - i > 1 and _direction(lower, j - 2) != _direction(lower, j - 1)
+            j += 1
+            if j - i >= 3:
+                offer(j, here + log10(40 * (j - i)) + turns * step)
+    return cost.get(size, inf)
 
 
 def _direction(text: str, at: int) -> tuple[int, int]:
@@ -165,7 +197,7 @@ def guess_spans(text: str, ranks: dict[str, float], least: float = MIN_COST) ->
     spans = []
     for m in CONTEXT.finditer(text):
         value = m[1].rstrip(".!?)]}")
-        if len(value) >= LEAST_ASSIGN and guess_cost(value, ranks) >= least:
+        if len(value) >= LEAST_ASSIGN and guess_cost(value, ranks, least) >= least:
             spans.append(("guess", m.start(1), m.start(1) + len(value)))
     return spans
 
