@@ -3,7 +3,9 @@
 A list of proven size is sent to the tasks, which build a trie of its words once
 per process and walk every text through it; texts are not shuffled. A longer
 list stays a table: runs of words, of the lengths that names have, meet it in an
-equi join in which a run matches one name at most, so no first word fans out.
+equi join in which a run matches one name at most, so no first word fans out. A
+filter of fixed size with a bit for every name's hash keeps most other runs from
+leaving their text; what it lets through by chance finds no name in the join.
 """
 
 from __future__ import annotations
@@ -12,16 +14,21 @@ import functools
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockhand.functions.text import tokens
+from dockhand.session import ensure_checkpoint_dir
 
 MOST_NAMES_SENT = 100_000
 MOST_CHARS_SENT = 8_000_000
+FILTER_BITS, SEGMENT_BITS = 27, 19  # of the filter of a longer list, and of one row of it
 
+_STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _END = ""  # no word is empty, so it marks the end of a name
 
 Trie = dict
@@ -88,28 +95,111 @@ def _walked(source: Iterator[pa.RecordBatch], sent: Broadcast) -> Iterator[pa.Re
             yield pa.RecordBatch.from_arrays(columns, names=["key", "name", "label", "n"])
 
 
+def _word_hash(word: Column) -> Column:
+    return F.xxhash64(word)
+
+
+def _run_positions(hashes: np.ndarray, longest: int) -> Iterator[np.ndarray]:
+    """For runs of 1 to ``longest`` words, the place in the filter of the run that starts at each word; ends are not looked at."""
+    run = hashes
+    for n in range(1, longest + 1):
+        if n > 1:
+            run = run[:-1] * _STEP + hashes[n - 1 :]
+        mixed = (run ^ (run >> np.uint64(32))) * _MIX + np.uint64(n)
+        yield (mixed ^ (mixed >> np.uint64(29))) * _STEP >> np.uint64(64 - FILTER_BITS)
+
+
+def _flat(column: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
+    """The entries of all lists, and where each list ends among them."""
+    ends = column.offsets.to_numpy()
+    return column.values.slice(ends[0], ends[-1] - ends[0]), ends[1:] - ends[0]
+
+
+def _name_positions(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in source:
+        hashes, ends = _flat(batch.column("hashes"))
+        hashes, sizes = hashes.to_numpy().view(np.uint64), np.diff(ends, prepend=0)
+        found = [np.zeros(0, dtype=np.uint64)]
+        for n, at in enumerate(_run_positions(hashes, int(sizes.max(initial=0))), 1):
+            found.append(at[ends[sizes == n] - n])
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).astype(np.int64))], names=["place"])
+
+
+def _segment(key: tuple, places: pa.Table) -> pa.Table:
+    bits = np.zeros(1 << SEGMENT_BITS, dtype=bool)
+    bits[places.column("place").to_numpy() & ((1 << SEGMENT_BITS) - 1)] = True
+    return pa.table({"segment": [key[0].as_py()], "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
+
+def _filter_of(names: DataFrame) -> np.ndarray:
+    """A bit for the hash of every name, 16 MB for any list."""
+    words = names.select(F.transform(F.split("name", " "), _word_hash).alias("hashes"))
+    places = words.mapInArrow(_name_positions, "place long").distinct()
+    segments = places.groupBy(F.shiftright("place", SEGMENT_BITS).alias("segment")).applyInArrow(_segment, "segment long, bits binary")
+    bits = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
+    size = 1 << (SEGMENT_BITS - 3)
+    for row in segments.toLocalIterator():
+        bits[row.segment * size : (row.segment + 1) * size] = np.frombuffer(row.bits, dtype=np.uint8)
+    return bits
+
+
+def _runs(source: Iterator[pa.RecordBatch], sent: Broadcast, lengths: list[int]) -> Iterator[pa.RecordBatch]:
+    """(row, key, start, name) of the runs of words that pass the filter; few others do."""
+    bits = sent.value
+    for batch in source:
+        words, ends = _flat(batch.column("words"))
+        hashes, _ = _flat(batch.column("hashes"))
+        if not len(words):
+            continue
+        row = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+        left = ends[row] - np.arange(len(row))  # words from each one to the end of its text
+        first = np.diff(ends, prepend=0)[row] - left
+        for n, at in enumerate(_run_positions(hashes.to_numpy().view(np.uint64), min(max(lengths), int(left.max()))), 1):
+            if n not in lengths:
+                continue
+            hit = np.flatnonzero((bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1)
+            hit = hit[left[hit] >= n]
+            for some in np.array_split(hit, len(hit) // 100_000 + 1):
+                name = pc.binary_join_element_wise(*(words.take(pa.array(some + i)) for i in range(n)), " ") if n > 1 else words.take(pa.array(some))
+                of = pa.array(row[some])
+                columns = [batch.column("row").take(of), batch.column("key").take(of), pa.array(first[some], pa.int32()), name]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "key", "start", "name"])
+
+
+def _kept(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Names in each text without overlap; the names of a text come one after another, by start, the longest first."""
+    row, key, end, counts = None, None, 0, Counter()
+    for batch in source:
+        schema = pa.schema([batch.schema.field("key"), ("name", pa.string()), ("label", pa.string()), ("n", pa.int64())])
+        out: list[tuple] = []
+        keys = batch.column("key")
+        columns = (batch.column(c).to_pylist() for c in ("row", "start", "length", "name", "label"))
+        for i, (of, start, length, name, label) in enumerate(zip(*columns, strict=True)):
+            if of != row:
+                out += [(key, *found, n) for found, n in counts.items()]
+                row, key, end, counts = of, keys[i].as_py(), 0, Counter()
+            if start >= end:
+                counts[name, label] += 1
+                end = start + length
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+    if counts:
+        out = [(key, *found, n) for found, n in counts.items()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+
 def _joined(texts: DataFrame, names: DataFrame) -> DataFrame:
-    """(key, name, label, n) by a join of word runs; the names of one text are put in order in its row."""
+    """(key, name, label, n) by a join of word runs; of the runs, those leave their text that pass a filter of the names."""
     lengths = [r.length for r in names.select("length").distinct().collect()]  # a few small numbers
-    placed = texts.withColumn("row", F.monotonically_increasing_id())
-    starts = placed.select("row", "key", "words", F.posexplode("words").alias("start", "first"))
-    runs = F.array(*[F.slice("words", F.col("start") + 1, n) for n in sorted(lengths)])
-    whole = F.filter(runs, lambda run: F.size(run) > 0)
-    places = starts.select("row", "key", "start", F.explode(F.array_distinct(whole)).alias("run"))
-    met = places.select("row", "key", "start", F.array_join("run", " ").alias("name")).join(names, "name")
-    longest = met.groupBy("row", "key", "start").agg(F.max(F.struct("length", "name", "label")).alias("best"))
-    listed = longest.groupBy("row", "key").agg(F.sort_array(F.collect_list(F.struct("start", "best"))).alias("all"))
-    none = F.array().cast(listed.schema["all"].dataType)
-
-    def take(state, place):
-        free = place["start"] >= state["end"]
-        end = F.when(free, place["start"] + place["best"]["length"]).otherwise(state["end"])
-        kept = F.when(free, F.concat(state["kept"], F.array(place))).otherwise(state["kept"])
-        return F.struct(end.alias("end"), kept.alias("kept"))
-
-    begin = F.struct(F.lit(0).alias("end"), none.alias("kept"))
-    kept = listed.select("row", "key", F.explode(F.aggregate("all", begin, take)["kept"]).alias("place"))
-    return kept.groupBy("row", "key", "place.best.name", "place.best.label").agg(F.count(F.lit(1)).alias("n")).drop("row")
+    schema = f"key {texts.schema['key'].dataType.simpleString()}, name string, label string, n long"
+    if not lengths:
+        return texts.sparkSession.createDataFrame([], schema)
+    sent = texts.sparkSession.sparkContext.broadcast(_filter_of(names))
+    placed = texts.withColumn("row", F.monotonically_increasing_id()).select("row", "key", "words", F.transform("words", _word_hash).alias("hashes"))
+    of_key = texts.schema["key"].dataType.simpleString()
+    runs = placed.mapInArrow(functools.partial(_runs, sent=sent, lengths=lengths), f"row long, key {of_key}, start int, name string")
+    met = runs.join(names, "name").select("row", "key", "start", "length", "name", "label")
+    return met.repartition("row").sortWithinPartitions("row", "start", F.desc("length")).mapInArrow(_kept, schema)
 
 
 def name_entities(
@@ -126,7 +216,8 @@ def name_entities(
     stands between them. Rows that share a key give rows of their own; null and empty texts give none.
     Runs jobs when called: the list is measured before it is sent.
     """
-    names = normal_names(names)
+    ensure_checkpoint_dir(df.sparkSession)
+    names = normal_names(names).checkpoint()  # its source is read once
     texts = df.select(F.col(key).alias("key"), tokens(F.col(text)).alias("words"))
     size = names.agg(F.count(F.lit(1)).alias("held"), F.sum(F.length("name") + F.length("label")).alias("chars")).first()
     if size.held <= most_names and (size.chars or 0) <= most_chars:

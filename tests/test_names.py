@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import functools
 import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from dockhand.functions.text import tokens
+from dockhand.operators import names
 from dockhand.operators.names import build_trie, name_entities, walk
 
 
@@ -52,3 +57,26 @@ def test_texts_are_not_shuffled_for_a_list_that_can_be_sent(spark, checked):
     plan = name_entities(docs, listed, "doc_id")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "MapInArrow" in plan
     assert "Exchange" in name_entities(docs, listed, "doc_id", most_names=0)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_longer_list_reads_a_long_text_in_proportion(spark):
+    rng = random.Random(3)
+    words = [rng.choice("abcdefgh") * rng.randint(1, 6) for _ in range(60_000)]
+    names = [" ".join(words[at : at + n]) for n in (2, 3) for at in range(0, 60_000, 701)]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[::-1])), (None, " ".join(words[:1]))], "id long, text string")
+    listed = spark.createDataFrame([(n, "P") for n in names], "name string, label string")
+    short, long = ({tuple(r) for r in name_entities(df, listed, "id", most_names=most).collect()} for most in (100_000, 0))
+    assert long == short and len(long) > 100
+
+
+def test_runs_of_words_do_not_leave_their_text_unless_they_pass_the_filter(spark):
+    listed = spark.createDataFrame([("a b", "X"), ("c", "Y")], "name string, label string")
+    bits = names._filter_of(names.normal_names(listed))
+    assert np.unpackbits(bits).sum() == 2
+    texts = spark.createDataFrame([(0, None), (1, "x a b c"), (2, "b a x y z")], "key long, text string").select("key", tokens(F.col("text")).alias("words"))
+    found = names._joined(texts, names.normal_names(listed))
+    assert {tuple(r) for r in found.collect()} == {(1, "a b", "X", 1), (1, "c", "Y", 1)}
+    placed = texts.select(F.col("key").alias("row"), "key", "words", F.transform("words", lambda word: F.xxhash64(word)).alias("hashes"))
+    sent = spark.sparkContext.broadcast(bits)
+    runs = placed.mapInArrow(functools.partial(names._runs, sent=sent, lengths=[1, 2]), "row long, key long, start int, name string")
+    assert {tuple(r) for r in runs.collect()} == {(1, 1, 1, "a b"), (1, 1, 3, "c")}
