@@ -13,50 +13,95 @@ first: they give each term's weight and for every block the best score that a
 document in it can have. The lists are read of those blocks only whose bound
 reaches the k-th best score found in the most promising ones.
 
+A task puts the words of the documents that it reads in order and sends one row
+for each of their terms and blocks, so a block whose documents lie together comes
+from few rows.
+
 Keys are longs, one row each; rows without a key are left out.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockhand.functions.text import exploded_terms, tokens
+from dockhand.functions.text import tokens
 
 WIDTH = 1024
 FIRST_BLOCKS = 16  # blocks of the best bounds, which give the score to beat
 MOST_BLOCKS_NAMED = 2_000  # of blocks to read; more are joined instead of named in the filter
 ROUNDING = 1e-6
 
-# A word with its places in a list of "word<SOH>place" sorted as text. The possessive
-# quantifier makes the matcher loop instead of recursing.
-_PLACED = "([^ \x01]+)\x01[0-9]+(?: \\1\x01[0-9]+)*+"
-_PLACE_DIGITS = 10
+GROUP_WORDS = 2_000_000  # words that a task puts in order at a time
+
+ENTRY = pa.struct([("offset", pa.int32()), ("tf", pa.int32()), ("places", pa.list_(pa.int32()))])
+PARTS = pa.schema([("term", pa.string()), ("block", pa.int64()), ("entries", pa.list_(ENTRY))])
+PARTS_SQL = "term string, block long, entries array<struct<offset: int, tf: int, places: array<int>>>"
+
+
+def _lists(starts: np.ndarray, size: int, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(starts, size).astype(np.int32)), values)
+
+
+def _parts_of(keys: np.ndarray, words: pa.Array, ends: np.ndarray, width: int) -> pa.RecordBatch:
+    """Parts of blocks: the rows' words in order of (term, block, offset, place). Rows that share a key stay apart."""
+    sizes = np.diff(ends, prepend=0)
+    coded = words.dictionary_encode()
+    code, row = coded.indices.to_numpy().astype(np.int64), np.repeat(np.arange(len(keys)), sizes)
+    by_key = np.empty(len(keys), dtype=np.int64)
+    by_key[np.argsort(keys, kind="stable")] = np.arange(len(keys))
+    at = np.argsort(code * len(keys) + by_key[row], kind="stable")  # places of a row are in order already
+    code, row = code[at], row[at]
+    places = (at - (ends - sizes)[row]).astype(np.int32)
+    entry = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (row[1:] != row[:-1])))
+    tf = np.diff(np.append(entry, len(at))).astype(np.int32)
+    block, offset = np.divmod(keys[row[entry]], width)
+    term = code[entry]
+    first = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])))
+    entries = pa.StructArray.from_arrays(
+        [pa.array(offset.astype(np.int32)), pa.array(tf), _lists(entry, len(at), pa.array(places))], fields=list(ENTRY)
+    )
+    terms = coded.dictionary.take(pa.array(term[first]))
+    return pa.RecordBatch.from_arrays([terms, pa.array(block[first]), _lists(first, len(entry), entries)], schema=PARTS)
+
+
+def _parts(width: int):
+    def parts(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            words, keys = batch.column("words"), batch.column("key").to_numpy()
+            ends = words.offsets.to_numpy()
+            start = 0
+            while start < len(keys):  # whole rows, one at least
+                stop = max(start + 1, int(np.searchsorted(ends, ends[start] + GROUP_WORDS, side="right")) - 1)
+                if ends[stop] > ends[start]:
+                    held = words.values.slice(ends[start], ends[stop] - ends[start])
+                    yield _parts_of(keys[start:stop], held, ends[start + 1 : stop + 1] - ends[start], width)
+                start = stop
+
+    return parts
+
+
+def block_parts(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
+    """Rows (term, block, entries): what the documents that a task reads together add to a block. No shuffle."""
+    listed = docs.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), tokens(F.col(text)).alias("words"))
+    return listed.mapInArrow(_parts(width), PARTS_SQL)
 
 
 def placed_postings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (term, key, places) of every document and word, places from 0. No shuffle: a document is read in its row."""
-    placed = F.transform(
-        tokens(F.col(text)), lambda word, at: F.concat(word, F.lit("\x01"), F.lpad(at.cast("string"), _PLACE_DIGITS, "0"))
-    )
-    listed = docs.filter(F.col(key).isNotNull()).select(
-        F.col(key).cast("long").alias("key"), F.array_join(F.sort_array(placed), " ").alias("listed")
-    )
-    terms, runs = (F.regexp_extract_all(F.col("listed"), F.lit(_PLACED), F.lit(group)) for group in (1, 0))
-    places = F.transform(F.regexp_extract_all(F.col("run"), F.lit("\x01([0-9]+)"), F.lit(1)), lambda place: place.cast("int"))
-    entries = F.zip_with(terms, runs, lambda term, run: F.struct(term.alias("term"), run.alias("run")))
-    return exploded_terms(listed.withColumn("entries", entries), "entries", "key").select("term", "key", places.alias("places"))
+    entries = block_parts(docs, key, text).select("term", "block", F.inline("entries"))
+    return entries.select("term", (F.col("block") * WIDTH + F.col("offset")).alias("key"), "places")
 
 
-def blocks_of(postings: DataFrame, width: int = WIDTH) -> DataFrame:
+def blocks_of(parts: DataFrame) -> DataFrame:
     """The index rows, range partitioned and sorted by (term, block). One shuffle, for the order and the blocks."""
-    block = F.floor(F.col("key") / width)
-    block = F.when(F.col("key") >= 0, F.call_function("div", F.col("key"), F.lit(width))).otherwise(block).cast("long")
-    entry = F.struct(F.pmod("key", F.lit(width)).cast("int").alias("offset"), F.size("places").alias("tf"), "places")
-    dealt = postings.select("term", block.alias("block"), entry.alias("entry")).repartitionByRange("term", "block")
-    entries = F.sort_array(F.collect_list("entry")).alias("entries")  # at most ``width`` of a block
+    dealt = parts.repartitionByRange("term", "block")
+    entries = F.sort_array(F.flatten(F.collect_list("entries"))).alias("entries")  # at most ``width`` of a block
     grouped = dealt.groupBy("term", "block").agg(entries).sortWithinPartitions("term", "block")
     return grouped.select(
         "term",
@@ -70,8 +115,12 @@ def blocks_of(postings: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def write_block_index(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> None:
-    """Store the index of a table and its size. Runs two jobs."""
-    blocks_of(placed_postings(docs, key, text), width).write.mode("overwrite").parquet(f"{folder}/blocks")
+    """Store the index of a table and its size. Runs jobs; texts are read once, the ranges are drawn from kept parts."""
+    parts = block_parts(docs, key, text, width).persist(StorageLevel.DISK_ONLY)
+    try:
+        blocks_of(parts).write.mode("overwrite").parquet(f"{folder}/blocks")
+    finally:
+        parts.unpersist()
     size = docs.agg(F.count(F.lit(1)).alias("n_docs")).withColumn("width", F.lit(width).cast("long"))
     size.coalesce(1).write.mode("overwrite").parquet(f"{folder}/size")
 

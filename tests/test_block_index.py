@@ -7,6 +7,7 @@ import math
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +102,36 @@ def test_places_and_counts_agree(spark, checked):
     placed = block_index.placed_postings(docs).select("term", F.col("key").alias("doc_id"), F.size("places").cast("long").alias("tf"))
     plain = search.postings(docs).select("term", "doc_id", F.col("tf").cast("long").alias("tf"))
     assert placed.exceptAll(plain).isEmpty() and plain.exceptAll(placed).isEmpty()
+
+
+def test_texts_are_read_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame([(i, f"wa wb w{'c' * (i % 7)}") for i in range(300)], "doc_id long, text string").repartition(3)
+    block_index.write_block_index(docs.mapInArrow(counted, docs.schema), str(tmp_path / "index"), width=16)
+    assert read.value <= 2 * 300  # once for the parts and once for the size of the table
+    assert block_index.BlockIndex(spark, str(tmp_path / "index")).search(["wa"], 400).count() == 300
+
+
+def test_a_block_is_one_row_of_a_task(spark):
+    docs = spark.createDataFrame([(i, "wa wb wa") for i in range(64)], "doc_id long, text string").coalesce(1)
+    parts = block_index.block_parts(docs, width=16).collect()
+    assert sorted((r.term, r.block, len(r.entries)) for r in parts) == [(t, n, 16) for t in ("wa", "wb") for n in range(4)]
+    assert all(e.places == ([0, 2] if r.term == "wa" else [1]) and e.tf == len(e.places) for r in parts for e in r.entries)
+
+
+def test_groups_of_words_and_rows_that_share_a_key(spark, monkeypatch):
+    docs = spark.createDataFrame([(5, "a b a"), (-1, "b"), (5, "a"), (7, None), (6, "c a")], "doc_id long, text string").coalesce(1)
+    want = [("a", 5, [0]), ("a", 5, [0, 2]), ("a", 6, [1]), ("b", -1, [0]), ("b", 5, [1]), ("c", 6, [0])]
+    assert sorted(map(tuple, block_index.placed_postings(docs).collect())) == want
+    one = block_index._parts(4)
+    monkeypatch.setattr(block_index, "GROUP_WORDS", 2)
+    words = pa.array([["a", "b", "a"], [], ["b"], ["a"], None], pa.list_(pa.string()))
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 9, -1, 4, 3]), words], names=["key", "words"]).slice(0, 5)
+    got = [(r["term"], r["block"], e["offset"], e["places"]) for out in one(iter([batch])) for r in out.to_pylist() for e in r["entries"]]
+    assert sorted(got) == [("a", 1, 0, [0]), ("a", 1, 1, [0, 2]), ("b", -1, 3, [0]), ("b", 1, 1, [1])]
