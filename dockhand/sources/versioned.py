@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,8 +114,11 @@ class VersionedTable:
         ``rule`` gets every old row of the touched files and every change, in
         columns ``old`` and ``new`` (structs, NULL where there is none) beside
         the key, and gives the rows that take the place of the old ones. Keys
-        are not NULL, and a batch holds a key once.
+        are not NULL, and a batch holds a key once; one that was applied before is not looked at.
         """
+        if batch is not None and batch <= self.batch():
+            return False
+        changes = changes.localCheckpoint(storageLevel=StorageLevel.DISK_ONLY)  # checked, looked up and applied; if it is lost, the batch comes again
         repeated = changes.groupBy(*self.key).count().filter("count > 1 OR " + " OR ".join(f"`{k}` IS NULL" for k in self.key))
         if not repeated.isEmpty():
             raise ValueError("a key is NULL or is changed more than once in a batch")

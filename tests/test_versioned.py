@@ -136,3 +136,18 @@ def test_view_follows_a_stream(spark, parts, tmp_path):
     for _ in range(2):  # the second run finds nothing new
         quantity_view.start_quantity_view(stream, parts, view, str(tmp_path / "c")).awaitTermination()
     assert rows(view.read().drop("Uses")) == [(1, "PN-1", 6), (1, "PN-2", 5), (3, "PN-3", 2)]
+
+
+def test_changes_are_computed_once_and_a_replay_not_at_all(spark, table):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    source = spark.createDataFrame([(i, "new", 1) for i in range(0, 4_000, 40)], SCHEMA)
+    changes = source.mapInArrow(counted, source.schema)
+    assert table.upsert(changes, batch=3) and read.value == 100
+    assert not table.upsert(changes, batch=3) and read.value == 100
+    assert table.read().filter("name = 'new'").count() == 100
