@@ -39,13 +39,13 @@ ROUNDING = 1e-6
 
 GROUP_WORDS = 2_000_000  # words that a task puts in order at a time
 
-ENTRY = pa.struct([("offset", pa.int32()), ("tf", pa.int32()), ("places", pa.list_(pa.int32()))])
-PARTS = pa.schema([("term", pa.string()), ("block", pa.int64()), ("entries", pa.list_(ENTRY))])
-PARTS_SQL = "term string, block long, entries array<struct<offset: int, tf: int, places: array<int>>>"
+INTS = pa.list_(pa.int32())
+PARTS = pa.schema([("term", pa.string()), ("block", pa.int64()), ("offsets", INTS), ("ends", INTS), ("places", INTS)])
+PARTS_SQL = "term string, block long, offsets array<int>, ends array<int>, places array<int>"
 
 
-def _lists(starts: np.ndarray, size: int, values: pa.Array) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.append(starts, size).astype(np.int32)), values)
+def _lists(starts: np.ndarray, size: int, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(starts, size).astype(np.int32)), pa.array(values.astype(np.int32)))
 
 
 def _parts_of(keys: np.ndarray, words: pa.Array, ends: np.ndarray, width: int) -> pa.RecordBatch:
@@ -57,17 +57,16 @@ def _parts_of(keys: np.ndarray, words: pa.Array, ends: np.ndarray, width: int) -
     by_key[np.argsort(keys, kind="stable")] = np.arange(len(keys))
     at = np.argsort(code * len(keys) + by_key[row], kind="stable")  # places of a row are in order already
     code, row = code[at], row[at]
-    places = (at - (ends - sizes)[row]).astype(np.int32)
+    places = at - (ends - sizes)[row]
     entry = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (row[1:] != row[:-1])))
-    tf = np.diff(np.append(entry, len(at))).astype(np.int32)
     block, offset = np.divmod(keys[row[entry]], width)
     term = code[entry]
     first = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])))
-    entries = pa.StructArray.from_arrays(
-        [pa.array(offset.astype(np.int32)), pa.array(tf), _lists(entry, len(at), pa.array(places))], fields=list(ENTRY)
-    )
+    ends_at = np.append(entry[1:], len(at))  # of the places of each entry, here and from the start of its row
+    ends_in = ends_at - np.repeat(entry[first], np.diff(np.append(first, len(entry))))
+    lists = [_lists(first, len(entry), offset), _lists(first, len(entry), ends_in), _lists(entry[first], len(at), places)]
     terms = coded.dictionary.take(pa.array(term[first]))
-    return pa.RecordBatch.from_arrays([terms, pa.array(block[first]), _lists(first, len(entry), entries)], schema=PARTS)
+    return pa.RecordBatch.from_arrays([terms, pa.array(block[first]), *lists], schema=PARTS)
 
 
 def _parts(width: int):
@@ -87,20 +86,34 @@ def _parts(width: int):
 
 
 def block_parts(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """Rows (term, block, entries): what the documents that a task reads together add to a block. No shuffle."""
+    """Rows (term, block, offsets, ends, places): what the documents that a task reads together add to a block. No shuffle.
+
+    ``places`` holds those of all offsets one after another, ``ends`` where each one's end; flat lists take the least room.
+    """
     listed = docs.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), tokens(F.col(text)).alias("words"))
     return listed.mapInArrow(_parts(width), PARTS_SQL)
 
 
+def _entries() -> Column:
+    """Structs (offset, tf, places) of a part."""
+
+    def entry(offset: Column, at: Column) -> Column:
+        start = F.when(at == 0, F.lit(0)).otherwise(F.get("ends", at - 1))
+        tf = F.get("ends", at) - start
+        return F.struct(offset.alias("offset"), tf.alias("tf"), F.slice("places", start + 1, tf).alias("places"))
+
+    return F.transform("offsets", entry)
+
+
 def placed_postings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (term, key, places) of every document and word, places from 0. No shuffle: a document is read in its row."""
-    entries = block_parts(docs, key, text).select("term", "block", F.inline("entries"))
+    entries = block_parts(docs, key, text).select("term", "block", F.inline(_entries()))
     return entries.select("term", (F.col("block") * WIDTH + F.col("offset")).alias("key"), "places")
 
 
 def blocks_of(parts: DataFrame) -> DataFrame:
     """The index rows, range partitioned and sorted by (term, block). One shuffle, for the order and the blocks."""
-    dealt = parts.repartitionByRange("term", "block")
+    dealt = parts.repartitionByRange("term", "block").select("term", "block", _entries().alias("entries"))
     entries = F.sort_array(F.flatten(F.collect_list("entries"))).alias("entries")  # at most ``width`` of a block
     grouped = dealt.groupBy("term", "block").agg(entries).sortWithinPartitions("term", "block")
     return grouped.select(

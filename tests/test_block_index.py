@@ -121,8 +121,10 @@ def test_texts_are_read_once(spark, tmp_path):
 def test_a_block_is_one_row_of_a_task(spark):
     docs = spark.createDataFrame([(i, "wa wb wa") for i in range(64)], "doc_id long, text string").coalesce(1)
     parts = block_index.block_parts(docs, width=16).collect()
-    assert sorted((r.term, r.block, len(r.entries)) for r in parts) == [(t, n, 16) for t in ("wa", "wb") for n in range(4)]
-    assert all(e.places == ([0, 2] if r.term == "wa" else [1]) and e.tf == len(e.places) for r in parts for e in r.entries)
+    assert sorted((r.term, r.block, r.offsets) for r in parts) == [(t, n, list(range(16))) for t in ("wa", "wb") for n in range(4)]
+    for r in parts:
+        step, places = (2, [0, 2]) if r.term == "wa" else (1, [1])
+        assert r.ends == list(range(step, 16 * step + 1, step)) and r.places == places * 16
 
 
 def test_groups_of_words_and_rows_that_share_a_key(spark, monkeypatch):
@@ -133,5 +135,10 @@ def test_groups_of_words_and_rows_that_share_a_key(spark, monkeypatch):
     monkeypatch.setattr(block_index, "GROUP_WORDS", 2)
     words = pa.array([["a", "b", "a"], [], ["b"], ["a"], None], pa.list_(pa.string()))
     batch = pa.RecordBatch.from_arrays([pa.array([5, 9, -1, 4, 3]), words], names=["key", "words"]).slice(0, 5)
-    got = [(r["term"], r["block"], e["offset"], e["places"]) for out in one(iter([batch])) for r in out.to_pylist() for e in r["entries"]]
+    got = [
+        (r["term"], r["block"], offset, r["places"][start:end])
+        for out in one(iter([batch]))
+        for r in out.to_pylist()
+        for offset, start, end in zip(r["offsets"], [0, *r["ends"]], r["ends"])
+    ]
     assert sorted(got) == [("a", 1, 0, [0]), ("a", 1, 1, [0, 2]), ("b", -1, 3, [0]), ("b", 1, 1, [1])]
