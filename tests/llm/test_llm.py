@@ -268,6 +268,23 @@ def test_subword_ids_equal_whole_texts():
         assert ids.ids([text.encode()])[0].tolist() == ids.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_distinct_words_of_a_group_are_encoded_once(monkeypatch):
+    ids, given = WordIds(default_vocabulary(), 50), []
+    for name in [n for n in ("_encode", "_encode_letters", "_encode_cores") if hasattr(ids, n)]:
+        inner = getattr(ids, name)
+        monkeypatch.setattr(ids, name, lambda found, inner=inner: (given.extend(found), inner(found))[1])
+    letters = ["".join(random.Random(i).choices("aeioubcdfglmnrst", k=9)) for i in range(300)]
+    texts = [" ".join(w + random.Random(i).choice(["", ",", "!?"]) for w in letters).encode() for i in range(200)]
+    assert ids.ids(texts)[-1].tolist() == ids.tokenizer.encode(texts[-1].decode(), add_special_tokens=False).ids
+    assert len(given) <= 300 + 3  # the words and what follows them
+
+
+def test_long_texts_are_read_in_parts():
+    ids = WordIds(default_vocabulary(), 50)
+    texts = ["", "Don't café. ", "Zwölf\tone, <|x|> 3.5 ｆｕｌｌ\u0301 " * 200, " \n" * 500, "x" * 3_000, "last one"]
+    assert [x.tolist() for x in ids.ids([t.encode() for t in texts], 300)] == [ids.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_packing(odd, none):
     got = packing.pack(odd, shard_bytes=40_000).collect()
     tokenizer = WordIds(default_vocabulary()).tokenizer
